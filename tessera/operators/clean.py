@@ -20,14 +20,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.profile import as_missing, stats_row
+from tessera.operators.profile import as_missing, means_row, stats_row
 from tessera.session import shared_dir
 
 
 def fit_means(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> dict[str, float | None]:
     """Mean of every column over its non-missing values (one aggregate)."""
-    stats = stats_row(df, cols, nan_as_null=nan_as_null)
-    return {c: stats[c][0] for c in cols}
+    return means_row(df, cols, nan_as_null=nan_as_null)
 
 
 def apply_means(df: DataFrame, means: dict[str, float | None], nan_as_null: bool = True) -> DataFrame:
@@ -79,25 +78,39 @@ def _materialise(df: DataFrame, how: str) -> tuple[DataFrame, callable]:
 
 
 def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                      materialise: str = "cache") -> list[dict]:
+                      materialise: str = "cache", refresh_every: int = 8) -> list[dict]:
     """Bounds of the sequential k-sigma filter, in column order.
 
     Returns one record per column: ``column, mean, sd, lo, hi, applied``.
     Column j's statistics are taken over the rows kept by columns 1..j-1;
     a column with NULL or zero sd is skipped (``applied`` False).
+
+    Every ``refresh_every`` applied bounds the surviving rows of the
+    still-needed columns are materialised again (and the previous copy
+    released), so a step's plan carries at most that many range predicates
+    and reads only the columns not yet processed plus those few filter
+    columns, instead of all earlier columns.
     """
+    cols = list(cols)
     base, release = _materialise(df.select(*cols), materialise)
     try:
-        kept: dict[str, tuple[float, float]] = {}
+        pending: dict[str, tuple[float, float]] = {}
         out = []
-        for c in cols:
-            survivors = base.where(bounds_predicate(kept)) if kept else base
+        for j, c in enumerate(cols):
+            if refresh_every and len(pending) >= refresh_every and materialise != "none":
+                rest = cols[j:]
+                new_base, new_release = _materialise(base.where(bounds_predicate(pending)).select(*rest),
+                                                     materialise)
+                new_base.count() if materialise == "cache" else None
+                release()
+                base, release, pending = new_base, new_release, {}
+            survivors = base.where(bounds_predicate(pending)) if pending else base
             mean, sd, _ = stats_row(survivors, [c], nan_as_null)[c]
             applied = sd is not None and sd != 0
             lo = hi = None
             if applied:
                 lo, hi = mean - k * sd, mean + k * sd
-                kept[c] = (lo, hi)
+                pending[c] = (lo, hi)
             out.append({"column": c, "mean": mean, "sd": sd, "lo": lo, "hi": hi, "applied": applied})
         return out
     finally:

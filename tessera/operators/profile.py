@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 def as_missing(c: str) -> Column:
     """The column with NaN treated as missing (NULL)."""
-    return F.when(F.isnan(F.col(c)), F.lit(None).cast("double")).otherwise(F.col(c).cast("double"))
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def _stat_exprs(cols: Sequence[str], nan_as_null: bool) -> list[Column]:
@@ -73,6 +73,13 @@ def outlier_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFr
     return profile(df, cols, k=k).select("feature", "ordinal", "mean", "sd", "lo", "hi")
 
 
+def means_row(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> dict[str, float | None]:
+    """Mean of every column from one aggregate (one value per column)."""
+    row = df.agg(*[F.avg(as_missing(c) if nan_as_null else F.col(c)).alias(f"__m{i}")
+                   for i, c in enumerate(cols)]).first()
+    return {c: row[f"__m{i}"] for i, c in enumerate(cols)}
+
+
 def stats_row(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> dict[str, tuple]:
     """(mean, sd, n) per column from one aggregate, fetched as one row.
 
