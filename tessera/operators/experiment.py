@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tessera.operators.evaluate import metrics
+from tessera.operators.layout import cache_sized
 from tessera.operators.split import add_split
 from tessera.sources.csv import write_csv
 
@@ -47,7 +47,7 @@ def _run_once(df: DataFrame, keys: Sequence[str], split_seed: int, model_seed: i
 
 def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_col: str,
                   train_fraction: float, parallelism: int) -> list[tuple]:
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = cache_sized(df)
     try:
         def go(job):
             name, run, split_seed, model_seed, factory = job
@@ -62,7 +62,7 @@ def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_c
 
 def repeated_holdout(spark: SparkSession, df: DataFrame, keys: Sequence[str], seeds: Sequence[int],
                      factory: Factory, model: str = "model", label_col: str = "label_indexed",
-                     train_fraction: float = 0.7, parallelism: int = 4) -> DataFrame:
+                     train_fraction: float = 0.7, parallelism: int = 8) -> DataFrame:
     """One run per seed; the seed drives both the split and the model."""
     jobs = [(model, i + 1, s, s, factory) for i, s in enumerate(seeds)]
     rows = _collect_runs(df, jobs, keys, label_col, train_fraction, parallelism)
@@ -72,7 +72,7 @@ def repeated_holdout(spark: SparkSession, df: DataFrame, keys: Sequence[str], se
 def repeated_model_seed(spark: SparkSession, df: DataFrame, keys: Sequence[str], split_seed: int,
                         seeds: Sequence[int], factories: dict[str, tuple[Factory, bool]],
                         label_col: str = "label_indexed", train_fraction: float = 0.7,
-                        parallelism: int = 4) -> DataFrame:
+                        parallelism: int = 8) -> DataFrame:
     """Fixed split, one run per (model, seed). A model flagged unseeded
     ignores the seed, so it is fitted once and that fit's metrics are
     reported for every seed."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import explode_vector, vector_sum
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split, tune
-from tessera.plans import oracle as O
+from tessera.plans import programs
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
 from tessera.sources.csv import feature_schema, read_typed_csv, write_csv
@@ -307,7 +307,7 @@ def _cv(spark: SparkSession, sf: str, train_only: bool = False):
     lr = pipe.getStages()[-1]
     grid = tune.logistic_grid(lr, tune.GRID_SMALL["reg_param"], tune.GRID_SMALL["elastic_net"])
     data = ds.where(F.col("split") == "train") if train_only else ds
-    cvm = tune.cross_validate(data, pipe, grid, [f.key], seed=42, num_folds=5, parallelism=8)
+    cvm = tune.grid_search_cv(data, pipe, grid, [f.key], seed=42, num_folds=5, parallelism=16)
     return ds, lr, cvm
 
 
@@ -395,6 +395,20 @@ def results_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(RESULTS_CSV_SCHEMA).option("header", "true").csv(path)
 
 
+# ================================================================ end-to-end programs (rows only)
+
+def tree_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.tree_experiment(spark, sf))
+
+
+def tuned_logistic_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.tuned_logistic_experiment(spark, sf))
+
+
+def baseline_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.baseline_comparison(spark, sf))
+
+
 # ================================================================ registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -440,4 +454,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_table": results_table,
     "run_summary": run_summary,
     "results_csv_sink": results_csv_sink,
+    "tree_experiment": tree_experiment,
+    "tuned_logistic_experiment": tuned_logistic_experiment,
+    "baseline_comparison": baseline_comparison,
 }

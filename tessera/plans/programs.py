@@ -33,7 +33,7 @@ def _prepared(fix: fx.Fixture, cleaned: bool, materialise: str = "cache") -> Dat
     return encode.assemble(df, fix.features)
 
 
-def tree_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A, parallelism: int = 4,
+def tree_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A, parallelism: int = 8,
                     fixture: str = "embedding_wide") -> DataFrame:
     fix = fx.FIXTURES[fixture](spark, sf_dir)
     ds = _prepared(fix, cleaned=True)
@@ -43,15 +43,16 @@ def tree_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A,
 
 def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B,
                               grid: dict = tune.GRID_SMALL, select_k: int | None = None, num_folds: int = 5,
-                              parallelism: int = 4, fixture: str = "document_quality") -> DataFrame:
+                              parallelism: int = 8, cv_parallelism: int = 16,
+                              fixture: str = "document_quality") -> DataFrame:
     fix = fx.FIXTURES[fixture](spark, sf_dir)
     ds = _prepared(fix, cleaned=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tuning = split.add_split(ds, [fix.key], 42).where(F.col("split") == "train").drop("split")
         pipe = models.scaled_logistic(select_k=select_k)
         lr = pipe.getStages()[-1]
-        cvm = tune.cross_validate(tuning, pipe, tune.logistic_grid(lr, grid["reg_param"], grid["elastic_net"]),
-                                  [fix.key], seed=42, num_folds=num_folds, parallelism=parallelism)
+        cvm = tune.grid_search_cv(tuning, pipe, tune.logistic_grid(lr, grid["reg_param"], grid["elastic_net"]),
+                                  [fix.key], seed=42, num_folds=num_folds, parallelism=cv_parallelism)
         best = tune.best_params(cvm)
         return experiment.repeated_holdout(
             spark, ds, [fix.key], seeds,
@@ -62,7 +63,7 @@ def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment
         ds.unpersist()
 
 
-def baseline_comparison(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B, parallelism: int = 4,
+def baseline_comparison(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B, parallelism: int = 8,
                         fixture: str = "embedding_wide") -> DataFrame:
     fix = fx.FIXTURES[fixture](spark, sf_dir)
     ds = _prepared(fix, cleaned=False)
