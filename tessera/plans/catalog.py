@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import explode_vector, vector_sum
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split, tune
+from tessera.operators.layout import cache_sized
 from tessera.plans import programs
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
@@ -223,14 +224,14 @@ def logistic_fit(spark: SparkSession, sf: str) -> DataFrame:
 def logistic_elastic_net(spark: SparkSession, sf: str) -> DataFrame:
     """Coefficients over the regularisation grid (fits run concurrently)."""
     f = fx.document_quality(spark, sf)
-    ds = _prepared(f).persist(StorageLevel.MEMORY_AND_DISK)
+    ds = cache_sized(_prepared(f))
     grid = [(r, e) for r in tune.GRID_SMALL["reg_param"] for e in tune.GRID_SMALL["elastic_net"]]
 
     def fit(p):
         m = models.fit_logistic(ds, reg_param=p[0], elastic_net=p[1])
         return [(p[0], p[1], *row) for row in models.logistic_coefficients(spark, m, f.features).collect()]
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=16) as pool:
         rows = [r for rs in pool.map(fit, grid) for r in rs]
     ds.unpersist()
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, class_index long, term string, "
@@ -302,7 +303,7 @@ def eval_by_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cv(spark: SparkSession, sf: str, train_only: bool = False):
     f = fx.document_quality(spark, sf)
-    ds = split.add_split(_prepared(f), [f.key], 42).persist(StorageLevel.MEMORY_AND_DISK)
+    ds = cache_sized(split.add_split(_prepared(f), [f.key], 42))
     pipe = models.scaled_logistic()
     lr = pipe.getStages()[-1]
     grid = tune.logistic_grid(lr, tune.GRID_SMALL["reg_param"], tune.GRID_SMALL["elastic_net"])

@@ -18,11 +18,11 @@ table and the min/max/mean/SD summary.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import clean, encode, experiment, models, split, tune
+from tessera.operators.layout import cache_sized
 from tessera.sources import fixtures as fx
 
 
@@ -46,7 +46,7 @@ def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment
                               parallelism: int = 8, cv_parallelism: int = 16,
                               fixture: str = "document_quality") -> DataFrame:
     fix = fx.FIXTURES[fixture](spark, sf_dir)
-    ds = _prepared(fix, cleaned=True).persist(StorageLevel.MEMORY_AND_DISK)
+    ds = cache_sized(_prepared(fix, cleaned=True))
     try:
         tuning = split.add_split(ds, [fix.key], 42).where(F.col("split") == "train").drop("split")
         pipe = models.scaled_logistic(select_k=select_k)
