@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tessera.operators.evaluate import metrics
-from tessera.operators.layout import cache_sized
+from tessera.operators.layout import cache_counted, fit_concurrency
 from tessera.operators.split import add_split
 from tessera.sources.csv import write_csv
 
@@ -47,7 +47,8 @@ def _run_once(df: DataFrame, keys: Sequence[str], split_seed: int, model_seed: i
 
 def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_col: str,
                   train_fraction: float, parallelism: int) -> list[tuple]:
-    held = cache_sized(df)
+    held, n = cache_counted(df)
+    parallelism = fit_concurrency(int(n * train_fraction), parallelism)
     try:
         def go(job):
             name, run, split_seed, model_seed, factory = job

@@ -1,4 +1,5 @@
-"""Partition sizing for frames that are scanned many times (model fits).
+"""Partition sizing and fit concurrency for frames that are scanned many
+times (model fits).
 
 Iterative fits run one Spark job per optimiser iteration (or tree level), so
 every partition of their cached input costs one task per iteration. Small
@@ -6,6 +7,11 @@ inputs split into many tiny partitions pay that overhead for nothing, large
 inputs need their partitions for parallelism. :func:`cache_sized` caches a
 frame, counts it, and coalesces (no shuffle) only when its partitions hold
 far fewer rows than the target.
+
+Each concurrent fit also keeps its own cached copy of its training rows
+(``pyspark.ml`` persists the instances it iterates over), so the number of
+fits in flight is bounded by a row budget: many at once on small inputs,
+one at a time when the training set alone is as large as the budget.
 """
 
 from __future__ import annotations
@@ -16,19 +22,31 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 ROWS_PER_PARTITION = 250_000
+ROWS_IN_FLIGHT = 200_000_000
 
 
-def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
-                level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persisted copy of ``df`` with about ``rows_per_partition`` rows per
-    partition at most as many partitions as it had. Caller unpersists."""
+def cache_counted(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
+                  level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> tuple[DataFrame, int]:
+    """(persisted copy of ``df`` with about ``rows_per_partition`` rows per
+    partition -- never more partitions than it had --, its row count).
+    The caller unpersists."""
     held = df.persist(level)
     n = held.count()
     have = held.rdd.getNumPartitions()
     want = max(1, math.ceil(n / rows_per_partition))
     if want >= have:
-        return held
+        return held, n
     sized = held.coalesce(want).persist(level)
     sized.count()
     held.unpersist()
-    return sized
+    return sized, n
+
+
+def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
+                level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    return cache_counted(df, rows_per_partition, level)[0]
+
+
+def fit_concurrency(train_rows: int, requested: int, rows_in_flight: int = ROWS_IN_FLIGHT) -> int:
+    """Concurrent fits allowed for a training set of ``train_rows`` rows."""
+    return max(1, min(requested, rows_in_flight // max(1, train_rows)))

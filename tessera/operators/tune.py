@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tessera.operators.layout import cache_sized
+from tessera.operators.layout import ROWS_IN_FLIGHT, cache_counted, fit_concurrency
 from tessera.operators.split import add_folds
 
 # The two regularisation grids of the tuned programs.
@@ -85,18 +85,26 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
                    metric: str = "f1") -> GridSearchModel:
     """k-fold grid search with the same metrics as ``CrossValidator``.
 
-    Differences in execution only: the stages before the last one (scaler,
-    selector -- their parameters are not in the grid) are fitted once per
-    fold instead of once per grid point and their output is cached, and the
-    fits of all folds and grid points share one pool of ``parallelism``
-    concurrent jobs instead of waiting for the slowest fit of each fold.
+    Differences in execution only: the input is cached once (folds are
+    filters over it), the stages before the last one (scaler, selector --
+    their parameters are not in the grid) are fitted once per fold instead
+    of once per grid point, and the fits of all folds and grid points share
+    one pool instead of waiting for the slowest fit of each fold. The pool
+    size is ``parallelism`` bounded by the row budget of
+    :func:`~tessera.operators.layout.fit_concurrency`.
     The best grid point (first one on ties) is refitted on all rows, as
     ``CrossValidator`` does.
     """
     stages = pipeline.getStages()
     prefix, last = stages[:-1], stages[-1]
-    folded = cache_sized(add_folds(df, keys, seed, num_folds, "__fold"))
+    folded, n = cache_counted(add_folds(df, keys, seed, num_folds, "__fold"))
     evaluator = f1_evaluator(label_col, metric)
+    workers = fit_concurrency(n, parallelism)
+    # the prepared folds hold num_folds copies of the rows: cache them only
+    # when that fits the row budget, else keep them as lazy views over the
+    # one cached copy (each fit caches its own instances either way)
+    cache_folds = num_folds * n <= ROWS_IN_FLIGHT
+    held: list[DataFrame] = []
 
     def prepare(i: int):
         train = folded.where(F.col("__fold") != i)
@@ -104,24 +112,25 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
         if prefix:
             pm = Pipeline(stages=prefix).fit(train)
             train, valid = pm.transform(train), pm.transform(valid)
-        return (train.persist(StorageLevel.MEMORY_AND_DISK), valid.persist(StorageLevel.MEMORY_AND_DISK))
+        if cache_folds:
+            train, valid = train.persist(StorageLevel.MEMORY_AND_DISK), valid.persist(StorageLevel.MEMORY_AND_DISK)
+            held.extend([train, valid])
+        return train, valid
 
-    held = []
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            held = list(pool.map(prepare, range(num_folds)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            views = list(pool.map(prepare, range(num_folds)))
 
             def score(task):
                 i, j = task
-                model = last.fit(held[i][0], grid[j])
-                return evaluator.evaluate(model.transform(held[i][1]))
+                model = last.fit(views[i][0], grid[j])
+                return evaluator.evaluate(model.transform(views[i][1]))
 
             tasks = [(i, j) for i in range(num_folds) for j in range(len(grid))]
             scores = list(pool.map(score, tasks))
     finally:
-        for tr, va in held:
-            tr.unpersist()
-            va.unpersist()
+        for h in held:
+            h.unpersist()
         folded.unpersist()
     per_point = [[scores[i * len(grid) + j] for i in range(num_folds)] for j in range(len(grid))]
     avg = [sum(v) / num_folds for v in per_point]

@@ -308,7 +308,7 @@ def _cv(spark: SparkSession, sf: str, train_only: bool = False):
     lr = pipe.getStages()[-1]
     grid = tune.logistic_grid(lr, tune.GRID_SMALL["reg_param"], tune.GRID_SMALL["elastic_net"])
     data = ds.where(F.col("split") == "train") if train_only else ds
-    cvm = tune.grid_search_cv(data, pipe, grid, [f.key], seed=42, num_folds=5, parallelism=16)
+    cvm = tune.grid_search_cv(data, pipe, grid, [f.key], seed=42, num_folds=5, parallelism=32)
     return ds, lr, cvm
 
 

@@ -43,7 +43,7 @@ def tree_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A,
 
 def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B,
                               grid: dict = tune.GRID_SMALL, select_k: int | None = None, num_folds: int = 5,
-                              parallelism: int = 8, cv_parallelism: int = 16,
+                              parallelism: int = 8, cv_parallelism: int = 32,
                               fixture: str = "document_quality") -> DataFrame:
     fix = fx.FIXTURES[fixture](spark, sf_dir)
     ds = cache_sized(_prepared(fix, cleaned=True))

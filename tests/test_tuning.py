@@ -8,7 +8,7 @@ from tessera.plans import programs
 from tessera.sources import fixtures as fx
 
 
-def test_grid_is_cross_product():
+def test_grid_is_cross_product(spark):
     lr = models.logistic()
     grid = tune.logistic_grid(lr, tune.GRID_SMALL["reg_param"], tune.GRID_SMALL["elastic_net"])
     assert len(grid) == 16
