@@ -24,6 +24,7 @@ HEADLINE = {
     "tree_experiment": programs.tree_experiment,
     "baseline_comparison": programs.baseline_comparison,
     "tuned_logistic_experiment": programs.tuned_logistic_experiment,
+    "selected_logistic_experiment": programs.selected_logistic_experiment,
     # operators over the larger tables
     "feature_profile": catalog.feature_profile,
     "impute_mean": catalog.impute_mean,

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import (QuantileDiscretizer, StandardScaler, StandardScalerModel, StringIndexer,
-                                StringIndexerModel, UnivariateFeatureSelector, VectorAssembler)
+from pyspark.ml.feature import (StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Spark's chi-square test refuses features with more distinct values than this.
-CHI2_MAX_CATEGORIES = 10000
+from tessera.operators.select import CHI2_MAX_CATEGORIES, ChiSqTopK
 
 
 def fit_label_index(df: DataFrame, label_col: str = "label", output_col: str = "label_indexed",
@@ -75,38 +74,21 @@ def chi2_scores(df: DataFrame, features_col: str = "features", label_col: str =
 
 
 def chi2_selector(k: int, features_col: str = "features", output_col: str = "selected_features",
-                  label_col: str = "label_indexed") -> UnivariateFeatureSelector:
-    """Top-k features by chi-square p-value (categorical features and label).
-
-    Equivalent to the deprecated ``ChiSqSelector(numTopFeatures=k)``.
-    """
+                  label_col: str = "label_indexed", num_buckets: int = 64,
+                  max_categories: int = CHI2_MAX_CATEGORIES) -> ChiSqTopK:
+    """Top-k features by chi-square p-value (ties by index), the result of the
+    deprecated ``ChiSqSelector(numTopFeatures=k)``; slots with more distinct
+    values than Spark's test accepts are quantile-binned first."""
     if k is None or k < 1:
         raise ValueError("chi-square selection needs the number of features to keep (k >= 1)")
-    sel = UnivariateFeatureSelector(featuresCol=features_col, outputCol=output_col, labelCol=label_col,
-                                    selectionMode="numTopFeatures")
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(float(k))
-    return sel
-
-
-def bin_columns(df: DataFrame, cols: Sequence[str], num_buckets: int = 32, suffix: str = "_bin") -> DataFrame:
-    """Quantile-bin continuous columns (approximate quantiles, one pass) so
-    the chi-square test stays under its category limit on any data size."""
-    outs = [f"{c}{suffix}" for c in cols]
-    qd = QuantileDiscretizer(inputCols=list(cols), outputCols=outs, numBuckets=num_buckets, handleInvalid="keep")
-    return qd.fit(df).transform(df)
+    return ChiSqTopK(numTopFeatures=k, featuresCol=features_col, outputCol=output_col, labelCol=label_col,
+                     numBuckets=num_buckets, maxCategories=max_categories)
 
 
 def chi2_select_topk(df: DataFrame, cols: Sequence[str], k: int, label_col: str = "label_indexed",
-                     num_buckets: int | None = None) -> list[str]:
-    """Names of the k columns the chi-square selector keeps.
-
-    With ``num_buckets`` the columns are quantile-binned first (needed for
-    continuous columns with more than 10,000 distinct values).
-    """
-    use = list(cols)
-    if num_buckets is not None:
-        df = bin_columns(df, cols, num_buckets)
-        use = [f"{c}_bin" for c in cols]
-    assembled = assemble(df, use, "__chi2_features")
-    model = chi2_selector(k, "__chi2_features", "__chi2_selected", label_col).fit(assembled)
-    return [cols[i] for i in sorted(model.selectedFeatures)]
+                     num_buckets: int = 64, max_categories: int = CHI2_MAX_CATEGORIES) -> list[str]:
+    """Names of the k columns the chi-square selector keeps."""
+    assembled = assemble(df, cols, "__chi2_features")
+    model = chi2_selector(k, "__chi2_features", "__chi2_selected", label_col, num_buckets,
+                          max_categories).fit(assembled)
+    return [cols[i] for i in model.selectedFeatures]

@@ -406,6 +406,10 @@ def tuned_logistic_experiment(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(programs.tuned_logistic_experiment(spark, sf))
 
 
+def selected_logistic_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.selected_logistic_experiment(spark, sf))
+
+
 def baseline_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(programs.baseline_comparison(spark, sf))
 
@@ -457,5 +461,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_csv_sink": results_csv_sink,
     "tree_experiment": tree_experiment,
     "tuned_logistic_experiment": tuned_logistic_experiment,
+    "selected_logistic_experiment": selected_logistic_experiment,
     "baseline_comparison": baseline_comparison,
 }

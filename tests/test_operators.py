@@ -123,7 +123,10 @@ def test_chi2_binned_for_continuous(spark):
     # a continuous column with more distinct values than the test allows is binned first
     df = spark.range(12000).select((F.col("id") * 1.000001).alias("x"), (F.col("id") % 7).alias("y"),
                                    (F.col("id") % 2).cast("double").alias("label_indexed"))
+    # Spark's own test refuses x (12,000 distinct values); the selector bins it first
     assert encode.chi2_select_topk(df, ["x", "y"], 1, num_buckets=16) in (["x"], ["y"])
+    model = encode.chi2_selector(1, "f", "s", num_buckets=16).fit(encode.assemble(df, ["x", "y"], "f"))
+    assert model.binnedFeatures == [0]
 
 
 # ---------------------------------------------------------------- splits
@@ -216,3 +219,16 @@ def test_results_csv_round_trip(spark):
     assert math.isclose(summ[("test", "f1")]["mean"], mean, rel_tol=1e-12)
     assert math.isclose(summ[("test", "f1")]["sd"], math.sqrt(sum((x - mean) ** 2 for x in f1s) / 3),
                         rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_chi2_topk_equals_spark_selector_within_limit(spark):
+    from pyspark.ml.feature import UnivariateFeatureSelector
+    f = fx.embedding_wide(spark, SF_CHECK)
+    ds = encode.assemble(encode.index_label(f.df), f.features)
+    ref = UnivariateFeatureSelector(featuresCol="features", outputCol="s", labelCol="label_indexed",
+                                    selectionMode="numTopFeatures")
+    ref.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(20.0)
+    mine = encode.chi2_selector(20, "features", "s2").fit(ds)
+    assert mine.selectedFeatures == sorted(ref.fit(ds).selectedFeatures) and mine.binnedFeatures == []
+    out = mine.transform(ds).select("s2").first()[0]
+    assert len(out) == 20

@@ -23,4 +23,5 @@ def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(queries()) - set(oracle_sql())
     assert rows_only <= {"random_split", "logistic_elastic_net", "selected_logistic_fit", "cv_grid_metrics",
                          "cv_best_params", "tune_logistic", "tree_experiment", "tuned_logistic_experiment",
+                         "selected_logistic_experiment",
                          "baseline_comparison"}
