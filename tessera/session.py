@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by the cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, base)
         spark.sparkContext.setCheckpointDir(base)
