@@ -41,8 +41,12 @@ def apply_means(df: DataFrame, means: dict[str, float | None], nan_as_null: bool
     return df.withColumns(fills) if fills else df
 
 
-def impute_mean(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> DataFrame:
-    return apply_means(df, fit_means(df, cols, nan_as_null), nan_as_null)
+def impute_mean(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True, fit_where=None) -> DataFrame:
+    """Mean imputation; with ``fit_where`` (a boolean Column, e.g. the
+    training split) the means come from those rows only and are applied to
+    all rows, so no test row informs the statistics."""
+    fit_rows = df.where(fit_where) if fit_where is not None else df
+    return apply_means(df, fit_means(fit_rows, cols, nan_as_null), nan_as_null)
 
 
 def bounds_predicate(bounds: dict[str, tuple[float, float]]):
@@ -117,14 +121,19 @@ def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as
 
 
 def outlier_filter_sequential(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                              materialise: str = "cache") -> DataFrame:
+                              materialise: str = "cache", fit_where=None) -> DataFrame:
     """Drop rows outside mean +/- k*sd, column by column, each column's
-    statistics taken over the rows kept so far (order matters)."""
-    steps = sequential_bounds(df, cols, k, nan_as_null, materialise)
+    statistics taken over the rows kept so far (order matters). With
+    ``fit_where`` the bounds come from those rows only and filter all rows."""
+    fit_rows = df.where(fit_where) if fit_where is not None else df
+    steps = sequential_bounds(fit_rows, cols, k, nan_as_null, materialise)
     kept = {s["column"]: (s["lo"], s["hi"]) for s in steps if s["applied"]}
     return df.where(bounds_predicate(kept)) if kept else df
 
 
-def clean(df: DataFrame, cols: Sequence[str], k: float = 3.0, materialise: str = "cache") -> DataFrame:
-    """Mean imputation followed by the sequential k-sigma filter."""
-    return outlier_filter_sequential(impute_mean(df, cols), cols, k, materialise=materialise)
+def clean(df: DataFrame, cols: Sequence[str], k: float = 3.0, materialise: str = "cache",
+          fit_where=None) -> DataFrame:
+    """Mean imputation followed by the sequential k-sigma filter; statistics
+    from all rows (the programs' behaviour) or from ``fit_where`` rows only."""
+    return outlier_filter_sequential(impute_mean(df, cols, fit_where=fit_where), cols, k, materialise=materialise,
+                                     fit_where=fit_where)

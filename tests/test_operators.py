@@ -232,3 +232,16 @@ def test_chi2_topk_equals_spark_selector_within_limit(spark):
     assert mine.selectedFeatures == sorted(ref.fit(ds).selectedFeatures) and mine.binnedFeatures == []
     out = mine.transform(ds).select("s2").first()[0]
     assert len(out) == 20
+
+
+def test_cleaning_fitted_on_train_rows_only(spark):
+    f = fx.events_nulls(spark, SF_CHECK)
+    tagged = split.add_split(f.df, [f.key], 42)
+    train = F.col("split") == "train"
+    means = clean.fit_means(tagged.where(train), ["value"])
+    out = clean.impute_mean(tagged, ["value"], fit_where=train)
+    filled = out.where((F.col("event_id") % 7 == 0)).select("value").distinct().collect()
+    assert len(filled) == 1 and math.isclose(filled[0][0], means["value"], rel_tol=1e-15)
+    kept = clean.outlier_filter_sequential(out, ["value"], fit_where=train)
+    m, s = out.where(train).agg(F.avg("value"), F.stddev_samp("value")).first()
+    assert kept.count() == out.where(F.col("value").between(m - 3 * s, m + 3 * s)).count()
