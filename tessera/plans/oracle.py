@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from tessera.operators.experiment import SEEDS_A, SEEDS_B
+
 # ---------------------------------------------------------------- fixtures
 
 ORDERS_FLAGS = ("SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS f1, "
@@ -175,8 +177,6 @@ EN_COLS = ["value", "hour", "empty", "constant"]
 BS_COLS = ["c1", "c2", "c3", "c4"]
 LE_COLS = ["l_quantity", "l_discount", "l_tax"]
 EMB = embedding_wide(64)
-SEEDS_A = [42, 123, 456, 789, 795, 810, 850, 880, 950, 1000]
-SEEDS_B = [42, 123, 456, 789, 101112, 131415, 161718, 192021, 222324, 252627]
 
 
 def _csv_typed_scan() -> str:
