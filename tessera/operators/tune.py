@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from tessera.operators import evaluate
 from tessera.operators.layout import ROWS_IN_FLIGHT, cache_counted, fit_concurrency
 from tessera.operators.split import add_folds
 
@@ -89,16 +90,20 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
     filters over it), the stages before the last one (scaler, selector --
     their parameters are not in the grid) are fitted once per fold instead
     of once per grid point, and the fits of all folds and grid points share
-    one pool instead of waiting for the slowest fit of each fold. The pool
-    size is ``parallelism`` bounded by the row budget of
-    :func:`~tessera.operators.layout.fit_concurrency`.
+    one pool instead of waiting for the slowest fit of each fold, and all
+    grid points of a fold are scored in one confusion aggregate instead of
+    one evaluator job each (same formulas as ``MulticlassClassificationEvaluator``,
+    see :mod:`tessera.operators.evaluate`). The pool size is ``parallelism``
+    bounded by the row budget of :func:`~tessera.operators.layout.fit_concurrency`.
     The best grid point (first one on ties) is refitted on all rows, as
     ``CrossValidator`` does.
     """
     stages = pipeline.getStages()
     prefix, last = stages[:-1], stages[-1]
+    if metric not in ("f1", "accuracy"):
+        raise ValueError("grid_search_cv scores 'f1' (weighted) or 'accuracy'")
+    metric_col = metric
     folded, n = cache_counted(add_folds(df, keys, seed, num_folds, "__fold"))
-    evaluator = f1_evaluator(label_col, metric)
     workers = fit_concurrency(n, parallelism)
     # the prepared folds hold num_folds copies of the rows: cache them only
     # when that fits the row budget, else keep them as lazy views over the
@@ -120,14 +125,22 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
     try:
         with ThreadPoolExecutor(max_workers=workers) as pool:
             views = list(pool.map(prepare, range(num_folds)))
-
-            def score(task):
-                i, j = task
-                model = last.fit(views[i][0], grid[j])
-                return evaluator.evaluate(model.transform(views[i][1]))
-
             tasks = [(i, j) for i in range(num_folds) for j in range(len(grid))]
-            scores = list(pool.map(score, tasks))
+            fitted = dict(zip(tasks, pool.map(lambda t: last.fit(views[t[0]][0], grid[t[1]]), tasks)))
+
+            def fold_scores(i: int) -> dict[int, float]:
+                # every grid point's predictions on fold i, scored in one
+                # confusion aggregate (same formulas as the evaluator)
+                preds = None
+                for j in range(len(grid)):
+                    p = fitted[(i, j)].transform(views[i][1]).select(
+                        F.lit(j).alias("__grid"), F.col(label_col), F.col("prediction"))
+                    preds = p if preds is None else preds.unionByName(p)
+                rows = evaluate.metrics(preds, label_col, "prediction", by=["__grid"]).collect()
+                return {r["__grid"]: r[metric_col] for r in rows}
+
+            per_fold = list(pool.map(fold_scores, range(num_folds)))
+        scores = [per_fold[i][j] for i in range(num_folds) for j in range(len(grid))]
     finally:
         for h in held:
             h.unpersist()
