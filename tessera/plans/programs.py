@@ -28,6 +28,25 @@ from pyspark.sql import functions as F
 from tessera.operators import clean, encode, experiment, models, split, tune
 from tessera.operators.layout import cache_sized
 from tessera.sources import fixtures as fx
+from tessera.sources.csv import feature_names, feature_schema, read_typed_csv
+
+
+def csv_source(spark: SparkSession, path: str, columns_no: int) -> fx.Fixture:
+    """The programs' input format: headerless CSV of ``columns_no - 1``
+    double features and a string label, scanned with the generated schema."""
+    schema = feature_schema(columns_no)
+    return fx.Fixture(read_typed_csv(spark, path, schema), feature_names(columns_no))
+
+
+def _keys(fix: fx.Fixture) -> list[str]:
+    """Split/fold key: the key column, or for keyless input the row content
+    (every feature and the label) -- partition-independent, and exact
+    duplicate rows always fall on the same side of a split."""
+    return [fix.key] if fix.key else [*fix.features, fix.label]
+
+
+def _source(spark: SparkSession, sf_dir: str | None, fixture: str, source: fx.Fixture | None) -> fx.Fixture:
+    return source if source is not None else fx.FIXTURES[fixture](spark, sf_dir)
 
 
 def _prepared(fix: fx.Fixture, cleaned: bool, materialise: str = "cache") -> DataFrame:
@@ -37,29 +56,30 @@ def _prepared(fix: fx.Fixture, cleaned: bool, materialise: str = "cache") -> Dat
     return encode.assemble(df, fix.features)
 
 
-def tree_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A, parallelism: int = 8,
-                    fixture: str = "embedding_wide") -> DataFrame:
-    fix = fx.FIXTURES[fixture](spark, sf_dir)
+def tree_experiment(spark: SparkSession, sf_dir: str | None, seeds=experiment.SEEDS_A, parallelism: int = 8,
+                    fixture: str = "embedding_wide", source: fx.Fixture | None = None) -> DataFrame:
+    fix = _source(spark, sf_dir, fixture, source)
     ds = _prepared(fix, cleaned=True)
-    return experiment.repeated_holdout(spark, ds, [fix.key], seeds, lambda s: models.tree_classifier(seed=s),
+    return experiment.repeated_holdout(spark, ds, _keys(fix), seeds, lambda s: models.tree_classifier(seed=s),
                                        model="decision_tree", parallelism=parallelism)
 
 
 def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B,
                               grid: dict = tune.GRID_LARGE, select_k: int | None = None, num_folds: int = 5,
                               parallelism: int = 8, cv_parallelism: int = 32,
-                              fixture: str = "document_quality") -> DataFrame:
-    fix = fx.FIXTURES[fixture](spark, sf_dir)
+                              fixture: str = "document_quality", source: fx.Fixture | None = None) -> DataFrame:
+    fix = _source(spark, sf_dir, fixture, source)
+    keys = _keys(fix)
     ds = cache_sized(_prepared(fix, cleaned=True))
     try:
-        tuning = split.add_split(ds, [fix.key], 42).where(F.col("split") == "train").drop("split")
+        tuning = split.add_split(ds, keys, 42).where(F.col("split") == "train").drop("split")
         pipe = models.scaled_logistic(select_k=select_k)
         lr = pipe.getStages()[-1]
         cvm = tune.grid_search_cv(tuning, pipe, tune.logistic_grid(lr, grid["reg_param"], grid["elastic_net"]),
-                                  [fix.key], seed=42, num_folds=num_folds, parallelism=cv_parallelism)
+                                  keys, seed=42, num_folds=num_folds, parallelism=cv_parallelism)
         best = tune.best_params(cvm)
         return experiment.repeated_holdout(
-            spark, ds, [fix.key], seeds,
+            spark, ds, keys, seeds,
             lambda s: models.scaled_logistic(reg_param=best.reg_param, elastic_net=best.elastic_net,
                                              select_k=select_k),
             model="logistic_regression", parallelism=parallelism)
@@ -74,12 +94,12 @@ def selected_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experim
                                      **kw)
 
 
-def baseline_comparison(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B, parallelism: int = 8,
-                        fixture: str = "embedding_wide") -> DataFrame:
-    fix = fx.FIXTURES[fixture](spark, sf_dir)
+def baseline_comparison(spark: SparkSession, sf_dir: str | None, seeds=experiment.SEEDS_B, parallelism: int = 8,
+                        fixture: str = "embedding_wide", source: fx.Fixture | None = None) -> DataFrame:
+    fix = _source(spark, sf_dir, fixture, source)
     ds = _prepared(fix, cleaned=False)
     return experiment.repeated_model_seed(
-        spark, ds, [fix.key], 42, seeds,
+        spark, ds, _keys(fix), 42, seeds,
         {"decision_tree": (lambda s: models.tree_classifier(seed=s), True),
          "logistic_regression": (lambda s: models.logistic(), False)},
         parallelism=parallelism)

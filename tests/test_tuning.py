@@ -49,3 +49,18 @@ def test_tuned_logistic_small_grid(spark):
     long = programs.tuned_logistic_experiment(spark, SF_CHECK, seeds=[42, 7],
                                               grid={"reg_param": [0.01, 0.4], "elastic_net": [0.0]}, num_folds=3)
     assert long.count() == 4
+
+
+def test_programs_run_on_headerless_csv(spark):
+    from tessera.session import shared_dir
+    from tessera.sources.csv import write_csv
+    f = fx.embedding_wide(spark, SF_SMALL, width=12)
+    path = shared_dir(spark, "t_csv_program")
+    write_csv(f.df.select(*f.features, "label"), path, header=False)
+    src = programs.csv_source(spark, path, columns_no=13)
+    long = programs.tree_experiment(spark, None, seeds=[42, 7], source=src)
+    rows = long.collect()
+    assert len(rows) == 4 and sum(r["n"] for r in rows if r["seed"] == 42) == sum(
+        r["n"] for r in rows if r["seed"] == 7)
+    base = programs.baseline_comparison(spark, None, seeds=[1, 2], source=src)
+    assert base.count() == 8
