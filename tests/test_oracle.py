@@ -33,3 +33,18 @@ def test_every_query_has_oracle_or_is_rows_only():
                          "cv_best_params", "tune_logistic", "tree_experiment", "tuned_logistic_experiment",
                          "selected_logistic_experiment",
                          "baseline_comparison"}
+
+
+@pytest.mark.parametrize("name", ["document_quality", "orders_flags", "orders_binary", "events_nulls",
+                                  "events_correlated", "bucketed_select", "lineitem_rule", "lineitem_encode"])
+def test_fixture_matches_duckdb(spark, duck, name):
+    """The fixtures behind the rows-only queries equal their SQL definitions."""
+    import oracle_check
+    from tessera.plans import oracle
+    from tessera.sources import fixtures as fx
+    sql = {"document_quality": oracle.DOCUMENT_QUALITY, "orders_flags": oracle.ORDERS_FLAGS,
+           "orders_binary": oracle.ORDERS_BINARY, "events_nulls": oracle.EVENTS_NULLS,
+           "events_correlated": oracle.EVENTS_CORRELATED, "bucketed_select": oracle.BUCKETED_SELECT,
+           "lineitem_rule": oracle.LINEITEM_RULE, "lineitem_encode": oracle.LINEITEM_ENCODE}[name]
+    ok, msg = oracle_check.compare(fx.FIXTURES[name](spark, SF_CHECK).df.toPandas(), duck.execute(sql).df())
+    assert ok, msg
