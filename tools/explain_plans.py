@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-from tessera.operators import clean, encode, evaluate, models, profile, split  # noqa: E402
+from tessera.operators import encode, evaluate, models, split  # noqa: E402
 from tessera.plans import catalog  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 from tessera.sources import fixtures as fx  # noqa: E402
