@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing, url_filter
 
@@ -20,7 +21,8 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     intervals = url_filter.validity_intervals(url_filter.derived_events(pages))
-    return url_filter.judge(url_filter.derived_captures(pages), intervals)
+    judged = url_filter.judge(url_filter.derived_captures(pages), intervals)
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_at", "listed_since")})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

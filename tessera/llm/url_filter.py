@@ -170,7 +170,7 @@ hit AS (SELECT k.page_id, k.url, k.fetched, k.list_key, iv.category, iv.moment,
                  ORDER BY length(k.list_key) DESC, iv.moment DESC, k.list_key DESC, iv.category DESC) AS rk,
                count(*) OVER (PARTITION BY k.page_id, k.url, k.fetched) AS n
         FROM k JOIN iv ON k.list_key = iv.list_key AND iv.moment <= k.fetched AND (iv.until IS NULL OR k.fetched < iv.until))
-SELECT c.page_id, c.url, c.fetched AS fetched_at, coalesce(h.n, 0) AS n_active,
-       coalesce(h.category <> 'allow', FALSE) AS blocked, h.list_key, h.category, h.moment AS listed_since
+SELECT c.page_id, c.url, CAST(c.fetched AS VARCHAR) AS fetched_at, coalesce(h.n, 0) AS n_active,
+       coalesce(h.category <> 'allow', FALSE) AS blocked, h.list_key, h.category, CAST(h.moment AS VARCHAR) AS listed_since
 FROM (SELECT DISTINCT page_id, url, fetched FROM cap) c
 LEFT JOIN hit h ON h.rk = 1 AND h.page_id IS NOT DISTINCT FROM c.page_id AND h.url IS NOT DISTINCT FROM c.url"""
