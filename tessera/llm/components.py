@@ -49,3 +49,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = step.select("node", "label")
         if step.where("old <> label").isEmpty():
             return labels
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are already written.
+
+    Spark removes them when the driver's JVM collects the plans that own
+    them, which else may take until the end of the job.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

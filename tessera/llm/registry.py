@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprints, mixing, url_filter
+from tessera.llm import decontam, fingerprints, mixing, substring_dedup, url_filter
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op6_fingerprints": op6_fingerprints,
     "op7_mix_sources": op7_mix_sources,
