@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprints, mixing, ngram_join, substring_dedup, url_filter
+from tessera.llm import decontam, fingerprints, mixing, ngram_join, secrets, substring_dedup, url_filter
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     intervals = url_filter.validity_intervals(url_filter.derived_events(pages))
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op6_fingerprints": op6_fingerprints,
     "op7_mix_sources": op7_mix_sources,
+    "op8_secrets": op8_secrets,
     "op10_url_filter": op10_url_filter,
 }
 
