@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprints, mixing, ngram_join, secrets, substring_dedup, url_filter
+from tessera.llm import decontam, fingerprints, mixing, ngram_join, secrets, substring_dedup, url_filter, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.convert_pages(read(spark, sf_dir, "pages"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_next(read(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
+    "op5_warc": op5_warc,
     "op6_fingerprints": op6_fingerprints,
     "op7_mix_sources": op7_mix_sources,
     "op8_secrets": op8_secrets,
