@@ -19,7 +19,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a written table that no later step reads."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._written_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

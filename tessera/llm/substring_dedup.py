@@ -13,7 +13,7 @@ Every window of 13 words is represented by one symbol whose deciding extent lies
 symbol (in characters, then by name) of the second level, or else of the first level, or else a
 word. Equal windows thus have the same representative. The steps:
 
-1. parse all documents; write the representatives of each (name, position);
+1. parse all documents; write the representatives and the windows they stand for;
 2. group by name: names that occur in two different texts are shared;
 3. join the shared names back: only windows that they represent can repeat;
 4. hash just these windows (128 bits), group them, and keep for each the smallest document;
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textcols as tc
-from tessera.llm.components import release, written
+from tessera.llm.components import discard, release, written
 
 WINDOW = 13
 _U = np.uint64
@@ -152,23 +152,22 @@ def representatives(words: np.ndarray, bounds: np.ndarray, chars: np.ndarray, wi
     """(window start, key, position) for every window: the key names its
     representative symbol, the position is that symbol's first word (shifted by its level)."""
     row = tc.row_of(bounds)
-    counts = np.diff(bounds)
-    inside = np.arange(len(words)) - bounds[row] + window <= counts[row]
-    at = np.flatnonzero(inside)
+    total = len(words)
+    at = np.flatnonzero(np.arange(window, total + window) <= bounds[1:][row])
     key = np.zeros(len(at), _U)
     place = np.zeros(len(at), np.int64)
     todo = np.arange(len(at))
     for level, x in reversed(list(enumerate(levels(words, row, chars)))):
         if not len(todo):
             break
-        usable = (x.lo >= 0) & (x.hi <= len(words))
-        idx = np.flatnonzero(usable)
+        idx = np.flatnonzero((x.lo >= 0) & (x.hi <= total))
         if not len(idx):
             continue
-        lo_all, hi_all = np.maximum.accumulate(x.lo[idx]), np.minimum.accumulate(x.hi[idx][::-1])[::-1]
+        # extents are in order, so counting replaces searching
+        begun = np.cumsum(np.bincount(x.lo[idx] + 1, minlength=total + 2))
+        ended = np.cumsum(np.bincount(x.hi[idx], minlength=total + 2))
         w = at[todo]
-        lo = np.searchsorted(lo_all, w, "left")
-        hi = np.searchsorted(hi_all, w + window, "right")
+        lo, hi = begun[w], ended[w + window]
         some = lo < hi
         if some.any():
             # longer symbols first, then by name
@@ -186,7 +185,8 @@ def _words(data: np.ndarray, offs: np.ndarray):
 
 
 def parse(contents: DataFrame, window: int) -> DataFrame:
-    """(c1, names array<long>, places array<int>): representatives of each document's windows."""
+    """(c1, names array<long>, firsts array<int>, counts array<int>): the representatives of each text in
+    order, and the windows that each stands for (a first one and a number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,40 +196,40 @@ def parse(contents: DataFrame, window: int) -> DataFrame:
                 if not len(at):
                     continue
                 row = tc.row_of(bounds)[at]
-                order = np.lexsort((place, row))
-                row, key, place = row[order], key[order], place[order]
-                new = np.r_[True, (np.diff(row) != 0) | (np.diff(place) != 0)]
-                row, key, place = row[new], key[new], place[new] - bounds[row[new]] * 3
-                first = np.flatnonzero(np.r_[True, np.diff(row) != 0])
-                cuts = np.r_[first, len(row)]
+                new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(place) != 0)])
+                count = np.diff(np.r_[new, len(at)])
+                row, first = row[new], at[new]
+                cut = np.flatnonzero(np.r_[True, np.diff(row) != 0])
+                cuts = np.r_[cut, len(row)]
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("c1").take(pa.array(row[first])),
-                    tc.list_column(tc.as_signed(key), cuts, pa.int64()),
-                    tc.list_column(place.astype(np.int32), cuts, pa.int32())], ["c1", "names", "places"])
+                    rows.column("c1").take(pa.array(row[cut])),
+                    tc.list_column(tc.as_signed(key[new]), cuts, pa.int64()),
+                    tc.list_column((first - bounds[row]).astype(np.int32), cuts, pa.int32()),
+                    tc.list_column(count.astype(np.int32), cuts, pa.int32())], ["c1", "names", "firsts", "counts"])
 
-    return contents.select("c1", "text").mapInArrow(run, "c1 long, names array<long>, places array<int>")
+    return contents.select("c1", "text").mapInArrow(
+        run, "c1 long, names array<long>, firsts array<int>, counts array<int>")
 
 
 def shared_windows(flagged: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, d, x): the windows that a shared name represents, of rows (d, c1, text, places);
+    """(h1, h2, d, x): the listed windows of rows (d, c1, text, spans);
     x holds the window's first word and the low half of c1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in tc.pieces(batch, "text"):
-                words, bounds, chars = _words(data, offs)
-                at, _, place = representatives(words, bounds, chars, window)
+                words, bounds, _ = _words(data, offs)
+                lists = rows.column("spans")
+                size = np.diff(lists.offsets.to_numpy())
+                spans = lists.flatten()
+                count = spans.field("count").to_numpy(zero_copy_only=False).astype(np.int64)
+                first = spans.field("first").to_numpy(zero_copy_only=False) + np.repeat(bounds[:-1], size)
+                row = np.repeat(np.repeat(np.arange(len(size)), size), count)
+                at = np.repeat(first, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 if not len(at):
                     continue
-                lists = rows.column("places")
-                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = np.asarray([len(x) for x in lists.to_pylist()]) if lists.null_count else \
-                    np.diff(lists.offsets.to_numpy())
-                wanted = np.unique(flat + np.repeat(bounds[:-1], sizes) * 3)
-                near = np.minimum(np.searchsorted(wanted, place), max(len(wanted) - 1, 0))
-                on = wanted[near] == place if len(wanted) else np.zeros(len(place), bool)
-                at = at[on]
-                row = tc.row_of(bounds)[at]
+                fits = at + window <= bounds[1:][row]
+                at, row = at[fits], row[fits]
                 h1 = tc.window_hash(words, window)[at]
                 h2 = tc.window_hash(tc.mix64(words ^ _U(0x5851F42D4C957F2D)), window)[at]
                 low = rows.column("c1").to_numpy(zero_copy_only=False)[row] & 0xFFFFFFFF
@@ -237,7 +237,7 @@ def shared_windows(flagged: DataFrame, window: int) -> DataFrame:
                     pa.array(tc.as_signed(h1)), pa.array(tc.as_signed(h2)), rows.column("d").take(pa.array(row)),
                     pa.array(((at - bounds[row]) << 32) | low)], ["h1", "h2", "d", "x"])
 
-    return flagged.select("d", "c1", "text", "places").mapInArrow(run, "h1 long, h2 long, d long, x long")
+    return flagged.select("d", "c1", "text", "spans").mapInArrow(run, "h1 long, h2 long, d long, x long")
 
 
 def remove(docs: DataFrame, window: int, kind: str) -> DataFrame:
@@ -292,14 +292,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = written(spread.where("a <> b").select("name"), "shared")
     release(spark)
 
-    zipped = parsed.select("c1", F.explode(F.arrays_zip("names", "places")).alias("z")).select(
-        "c1", F.col("z.names").alias("name"), F.col("z.places").alias("place"))
+    zipped = parsed.select("c1", F.explode(F.arrays_zip("names", "firsts", "counts")).alias("z")).select(
+        "c1", F.col("z.names").alias("name"), F.struct(
+            F.col("z.firsts").alias("first"), F.col("z.counts").alias("count")).alias("span"))
     hits = zipped.join(shared, "name", "left_semi")
-    places = hits.groupBy("c1").agg(F.collect_set("place").alias("places"))
-    places = written(places.join(contents.select("c1", "d"), "c1").select("c1", "d", "places"), "places")
+    spans = hits.groupBy("c1").agg(F.collect_set("span").alias("spans"))
+    spans = written(spans.join(contents.select("c1", "d"), "c1").select("c1", "d", "spans"), "spans")
+    discard(parsed)
     release(spark)
 
-    flagged = base.select("d", "c1", "text").join(places, ["c1", "d"])
+    flagged = base.select("d", "c1", "text").join(spans, ["c1", "d"])
     windows = written(shared_windows(flagged, window), "windows")
     release(spark)
     least = windows.groupBy("h1", "h2").agg(F.min("d").alias("least"), F.max("d").alias("most"))
@@ -309,6 +311,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     low = F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)).alias("low")
     starts = written(covered.groupBy("d", low).agg(
         F.collect_set(F.shiftright("x", 32).cast("int")).alias("starts")), "starts")
+    for step in (windows, again, shared, spans):
+        discard(step)
     release(spark)
 
     mine = base.select("d", "c1", "c2").distinct().join(
