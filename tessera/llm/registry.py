@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, fingerprints, mixing, ngram_join, secrets, substring_dedup, url_filter, warc
+from tessera.llm import decontam, fingerprints, html_extract, mixing, ngram_join, secrets, substring_dedup, url_filter, warc
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -55,6 +55,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     intervals = url_filter.validity_intervals(url_filter.derived_events(pages))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_mix_sources": op7_mix_sources,
     "op8_secrets": op8_secrets,
+    "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
 }
 
