@@ -184,7 +184,7 @@ def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple[int, int | None, str] | None = None  # the row whose next one is still to come
         for batch in batches:
-            for rows, _, _ in tc.pieces(batch, "text", tc.PIECE_BYTES // 2):
+            for rows, _, _ in tc.pieces(batch, "text"):
                 seq = list(zip(rows.column("bucket").to_pylist(), rows.column("doc_id").to_pylist(),
                                rows.column("text").to_pylist()))
                 seq = ([kept] if kept else []) + seq

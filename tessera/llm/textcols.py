@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 19
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASE = 0xD6E8FEB86659FD93 | 1
