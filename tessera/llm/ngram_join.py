@@ -316,7 +316,8 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long").alias("blocks"))
     members = written(members.join(extent, "grp").select("grp", "s1", "d", "size", "blocks"), "members")
     release(spark)
-    texts = base.join(members.withColumnRenamed("s1", "own"), "d")
+    # always a merge join: the same plan, and the same growth, at every size
+    texts = base.hint("merge").join(members.withColumnRenamed("s1", "own"), "d")
     sets = set_rows(texts.select("grp", "own", "d", "size", "blocks", "text"), ngram)
     blocks = split_tasks(sets.withColumnRenamed("own", "s1")).select("task", "side", "s1", "size", "tokens")
     found = written(exact_links(blocks), "links")
