@@ -12,8 +12,9 @@ and a word is scored exactly by looking its subsequences up, without touching th
 
 Labels belong to texts, while a few words of a text carry its toxicity. So the machine is trained on
 labelled texts as bags of words: all words of clean texts are negative, and each toxic text gives
-its highest-scoring word as a positive; both are drawn anew in ``ROUNDS`` rounds. A sentence scores as its highest
-word, a text as its highest sentence; a logistic curve fitted on set-aside labelled texts turns it into 0..1.
+its highest-scoring word as a positive, beside words that only toxic texts have; the hardest are drawn anew in ``ROUNDS`` rounds.
+A logistic curve, fitted on set-aside labelled texts, turns the ``TOP`` highest word decisions of a
+text and its length into a score from 0 to 1.
 
 Training takes at most ``MAX_TEXTS`` labelled texts of each class (those of the smallest seeded hash, of up to
 ``MAX_CHARS`` characters); scoring covers every text whole. Words are runs between white space without the
@@ -39,26 +40,32 @@ from tessera.llm import textcols as tc
 
 MAX_TEXTS = 2500
 MAX_CHARS = 20_000
-LANDMARKS = 256
+LANDMARKS = 384
 ROUNDS = 4
 DECAY = 0.7
-SPAN = 7
+SPAN = 6
 THRESHOLD = 0.7
 SEED = 5
 CHUNK, OVERLAP = 24, SPAN
 FLOOR = 0.05  # normalised decisions under this are not told apart
-_BEGIN, _END = 101, 102
-_SLOTS = 1 << 22
+TOP = 3  # highest word decisions of a text that its score is made of
+SIGNAL = 6.0  # likelihood ratio of a telling word
+_BEGIN, _END = 30, 31
 _U = np.uint64
 
-# byte -> symbol: letters, digits, second bytes of other characters; 0 is a gap
+# byte -> symbol: letters 1-26, digits as the letter they stand in for or 27; 0 is a gap. Letters of
+# other scripts share the 26 symbols by their last byte.
 SYMBOL = np.zeros(256, np.uint8)
 SYMBOL[0x61:0x7B] = np.arange(1, 27)
-SYMBOL[0x30:0x3A] = np.arange(27, 37)
-SYMBOL[0x80:0xC0] = np.arange(37, 101)
-# offsets of the characters after the first, per subsequence length
-_STEPS = [c for n, span in ((2, SPAN - 1), (3, SPAN)) for c in combinations(range(1, span), n)]
-_FACTORS = (1, 1 << 7, 1 << 14, 1 << 21)
+SYMBOL[0x30:0x3A] = [ord(c) - 96 if c != "." else 27 for c in "oi.eas.t.."]
+SYMBOL[0x80:0xC0] = np.arange(64) % 26 + 1
+# Latin letters with marks (second byte after 0xC3) -> base letter
+_MARKED = np.arange(256, dtype=np.uint8)
+_MARKED[0xA0:0xC0] = [ord(c) for c in "aaaaaaaceeeeiiiidnooooo/ouuuuyty"]
+# offsets of the characters after the first, per subsequence length; four characters come first in the table
+_STEPS = [c for n in (2, 3) for c in combinations(range(1, SPAN), n)]
+_FOUR = 1 << 20
+_SLOTS = _FOUR + (1 << 15)
 
 
 def slots(symbols: np.ndarray, steps: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,15 +76,18 @@ def slots(symbols: np.ndarray, steps: tuple[int, ...]) -> tuple[np.ndarray, np.n
     for k, step in enumerate(steps, 1):
         nxt = symbols[:, step:step + width]
         valid &= nxt > 0
-        code |= nxt.astype(np.int64) << (7 * k)
-    if len(steps) == 3:  # four characters do not fit a table; they are hashed into the upper half
-        code = (((code * 0x9E3779B1) >> 13) & (_SLOTS // 2 - 1)) + _SLOTS // 2
-    return code, valid
+        code |= nxt.astype(np.int64) << (5 * k)
+    return (code if len(steps) == 3 else code + _FOUR), valid
 
 
 def lowered(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased text as bytes without the first bytes of multi-byte characters, and offsets."""
+    """Lower-cased text as one byte per character (the last byte of multi-byte characters,
+    the base letter of marked Latin ones), and offsets."""
     data, offs = tc.column_bytes(pc.utf8_lower(pc.fill_null(col, "")))
+    latin = np.flatnonzero(data == 0xC3) + 1
+    if len(latin):
+        data = data.copy()
+        data[latin] = _MARKED[data[latin]]
     keep = data < 0xC0
     kept = np.r_[0, np.cumsum(keep)]
     return data[keep], kept[offs]
@@ -149,12 +159,23 @@ def features(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Machine:
     """Weight per subsequence slot, and the logistic curve of text scores."""
 
-    def __init__(self, slot: np.ndarray, weight: np.ndarray, slope: float = 1.0, offset: float = 0.0):
-        self.slot, self.weight, self.slope, self.offset = slot, weight.astype(np.float32), slope, offset
+    CACHE = 1_000_000
+
+    def __init__(self, slot: np.ndarray, weight: np.ndarray):
+        self.slot, self.weight = slot, weight.astype(np.float32)
+        self.curve = np.zeros(TOP + 2)
+        self._reset()
+
+    def _reset(self) -> None:
         self._table: np.ndarray | None = None
+        self._known, self._value = np.zeros(0, _U), np.zeros(0)
 
     def __getstate__(self):
-        return {**self.__dict__, "_table": None}
+        return {"slot": self.slot, "weight": self.weight, "curve": self.curve}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._reset()
 
     @property
     def table(self) -> np.ndarray:
@@ -167,33 +188,68 @@ class Machine:
         """Normalised decision of every word, FLOOR where it is not above it."""
         out = np.full(len(starts), FLOOR, np.float64)
         for word, m in matrices(data, starts, ends):
-            raw, least = np.zeros(len(m), np.float32), np.zeros(len(m), np.float32)
+            m = m.astype(np.uint32)
+            shifted = [m, m << 5, m << 10, m << 15]
+            raw = np.zeros(len(m), np.float32)
+            for steps in _STEPS:
+                width = m.shape[1] - steps[-1]
+                code = m[:, :width].copy()
+                for k, step in enumerate(steps, 1):
+                    code |= shifted[k][:, step:step + width]
+                if len(steps) == 2:
+                    code += _FOUR
+                # a slot with a gap in it has no weight
+                raw += np.float32(DECAY ** (steps[-1] + 1)) * np.take(self.table, code).sum(axis=1)
+            # without gaps and repeats the norm follows from the length; with repeats it is larger
+            filled = (m > 0).sum(axis=1)
+            extent = m.shape[1] - np.argmax(m[:, ::-1] > 0, axis=1) - np.argmax(m > 0, axis=1)
+            least = np.zeros(len(m))
             for steps in _STEPS:
-                code, valid = slots(m, steps)
-                w = np.float32(DECAY ** (steps[-1] + 1))
-                raw += w * np.where(valid, self.table[code], 0).sum(axis=1)
-                least += w * w * valid.sum(axis=1)
-            # the true norm is at least that of subsequences that are all different
-            likely = np.flatnonzero(raw > FLOOR * np.sqrt(np.maximum(least, 1e-12)))
+                least += DECAY ** (2 * (steps[-1] + 1)) * np.maximum(0, extent - steps[-1])
+            least[filled < extent] = 0
+            likely = np.flatnonzero((raw > 0) & (raw > FLOOR * np.sqrt(least)))
             for i in range(0, len(likely), 2000):
                 part = likely[i:i + 2000]
                 row, _, weight = features(m[part])
                 norm = np.sqrt(np.bincount(row, weight * weight, len(part)))
-                np.maximum.at(out, word[part], raw[part] / norm)
+                np.maximum.at(out, word[part], raw[part] / np.maximum(norm, 1e-12))
         return out
 
-    def text_decisions(self, col: pa.Array) -> np.ndarray:
-        """Highest word decision of each text."""
+    def cached(self, key: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Decisions of distinct words, remembered by their hash (bounded; words recur in all texts)."""
+        out = np.empty(len(key))
+        at = np.minimum(np.searchsorted(self._known, key), max(len(self._known) - 1, 0))
+        old = self._known[at] == key if len(self._known) else np.zeros(len(key), bool)
+        out[old] = self._value[at[old]]
+        new = ~old
+        if new.any():
+            out[new] = self.decisions(data, starts[new], ends[new])
+            if len(self._known) > self.CACHE:
+                self._known, self._value = np.zeros(0, _U), np.zeros(0)
+            known = np.r_[self._known, key[new]]
+            order = np.argsort(known, kind="stable")
+            self._known, self._value = known[order], np.r_[self._value, out[new]][order]
+        return out
+
+    def text_values(self, col: pa.Array) -> np.ndarray:
+        """(texts, TOP + 2): the highest word decisions, the logarithm of the number of words, and 1."""
         data, offs = lowered(col)
         starts, ends, row = words(data, offs)
-        out = np.full(len(col), FLOOR)
+        out = np.full((len(col), TOP + 2), FLOOR)
+        out[:, TOP] = np.log1p(np.bincount(row, minlength=len(col)))
+        out[:, TOP + 1] = 1.0
         if len(starts):
-            _, first, inverse = np.unique(tc.span_hash(data, starts, ends), return_index=True, return_inverse=True)
-            np.maximum.at(out, row, self.decisions(data, starts[first], ends[first])[inverse])
+            key, first, inverse = np.unique(tc.span_hash(data, starts, ends), return_index=True, return_inverse=True)
+            value = self.cached(key, data, starts[first], ends[first])[inverse]
+            high = np.flatnonzero(value > FLOOR)
+            order = high[np.lexsort((-value[high], row[high]))]
+            place = np.arange(len(order)) - np.searchsorted(row[order], row[order], "left")
+            top = place < TOP
+            out[row[order][top], place[top]] = value[order][top]
         return out
 
     def scores(self, col: pa.Array) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-(self.slope * self.text_decisions(col) + self.offset)))
+        return 1.0 / (1.0 + np.exp(-np.clip(self.text_values(col) @ self.curve, -40, 40)))
 
 
 # -- training ----------------------------------------------------------------
@@ -302,12 +358,16 @@ def train(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, rounds
     clean = np.flatnonzero(in_clean)
     drawn = rng.permutation(clean)[:6000]
     score = bags.first_signal()
+    # words in several toxic texts and no clean one are positive from the start
+    in_toxic = np.bincount(bags.word[bags.toxic[bags.text] == 1], minlength=len(bags.starts))
+    telling = np.flatnonzero((score >= SIGNAL) & (in_toxic >= 3) & ~in_clean)
     hard = np.zeros(0, int)
     machine = None
     for _ in range(rounds):
         witness = bags.best(score, 1)
         witness = witness[~in_clean[witness]] if (~in_clean[witness]).any() else witness
-        positive, count = np.unique(witness, return_counts=True)
+        positive = np.union1d(witness, telling)
+        count = np.maximum(1, in_toxic[positive])
         hard = np.union1d(hard, bags.best(score, 0))
         hard = hard[np.argsort(-score[hard], kind="stable")][:4000]
         negative = np.setdiff1d(np.union1d(drawn, hard), positive)
@@ -321,8 +381,8 @@ def train(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, rounds
     if machine is None:
         return None
     held = aside if aside.any() else np.ones(len(toxic), bool)
-    value = machine.text_decisions(pa.array([t for t, a in zip(texts, held) if a], pa.string()))
-    machine.slope, machine.offset = logistic(value, toxic[held])
+    values = machine.text_values(pa.array([t for t, a in zip(texts, held) if a], pa.string()))
+    machine.curve = signed_logistic(values, toxic[held])
     return machine
 
 
@@ -365,22 +425,35 @@ def _fit(bags: Bags, marks: np.ndarray, positive: np.ndarray, count: np.ndarray,
     return Machine(slot, beta)
 
 
-def logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of P(y=1 | value), with smoothed targets (Platt), by Newton steps."""
+def signed_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic curve that never falls with a word decision and never rises with the number of words;
+    a term that would is left out."""
+    sign = np.r_[np.ones(TOP), -1.0, 0.0]
+    on = np.ones(len(sign), bool)
+    while True:
+        v = np.zeros(len(sign))
+        v[on] = logistic(x[:, on], y)
+        wrong = (v * sign < 0) & on
+        if not wrong.any():
+            return v
+        on[np.argmin(np.where(wrong, v * sign, 0))] = False
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Coefficients of P(y=1 | x), classes weighed alike and targets smoothed (Platt), by Newton steps."""
     n1, n0 = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     weight = np.where(y == 1, 0.5 / max(n1, 1), 0.5 / max(n0, 1)) * len(y)
-    x = np.c_[value, np.ones(len(value))]
-    v = np.zeros(2)
+    v = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -40, 40)))
-        grad = x.T @ (weight * (p - target)) + 1e-4 * v
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(2) * 1e-4
+        grad = x.T @ (weight * (p - target)) + ridge * len(y) * v / 10
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(len(v)) * ridge * len(y) / 10
         step = np.linalg.solve(h, grad)
-        v -= step * min(1.0, 5.0 / np.abs(step).max())
+        v -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
-    return float(v[0]), float(v[1])
+    return v
 
 
 # -- Spark -------------------------------------------------------------------
