@@ -29,8 +29,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm import textcols as tc
 from tessera.llm.components import written
@@ -180,16 +181,17 @@ class BenchmarkIndex:
                       .where("words >= 2").select("doc_id", "item", "p").distinct())
 
     def matches(self) -> DataFrame:
-        """(doc_id, n_words, n_hit, items array<string>) of every document, and the
+        """The rows of the corpus, as the struct ``doc``, with n_words, n_hit, items array<string> and the
         exact occurrences as spans array<struct<item,start,end>>."""
         items, window, id_col, text_col = self.items, self.items.window, self.id_col, self.text_col
-        kind = self.docs.schema[id_col].dataType.simpleString()
-        out = (f"doc_id {kind}, n_words long, n_hit long, items array<string>, "
-               "spans array<struct<item:string,start:int,end:int>>")
+        docs = self.docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+        out = T.StructType([docs.schema["doc"], *T._parse_datatype_string(
+            "n_words long, n_hit long, items array<string>, "
+            "spans array<struct<item:string,start:int,end:int>>").fields])
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for rows, data, offs in tc.pieces(batch, text_col):
+                for rows, data, offs in tc.pieces(batch, "text"):
                     words, bounds = _hash_words(data, offs)
                     found = rows.column("found").to_pylist()
                     n_words = np.diff(bounds)
@@ -207,20 +209,19 @@ class BenchmarkIndex:
                         names.append(sorted(item_ids))
                         spans.append(sorted(places, key=lambda x: (x["start"], x["end"], x["item"])))
                     yield pa.RecordBatch.from_arrays([
-                        rows.column(id_col), pa.array(n_words, pa.int64()), pa.array(n_hit),
+                        rows.column("doc"), pa.array(n_words, pa.int64()), pa.array(n_hit),
                         pa.array(names, pa.list_(pa.string())),
                         pa.array(spans, pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()),
                                                             ("end", pa.int32())])))],
-                        ["doc_id", "n_words", "n_hit", "items", "spans"])
+                        ["doc", "n_words", "n_hit", "items", "spans"])
 
-        docs = self.docs.select(id_col, text_col)
         found_kind = "array<struct<item:int,shift:int>>"
         if self.index is None:
             joined = docs.withColumn("found", F.lit(None).cast(found_kind))
         else:
             cand = self.alignments().groupBy("doc_id").agg(F.collect_set(F.struct("item", "shift")).alias("found"))
-            joined = docs.join(cand.withColumnRenamed("doc_id", "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
-            joined = joined.select(id_col, text_col, "found")
+            joined = docs.join(cand, F.col("_id").eqNullSafe(F.col("doc_id")), "left")
+        joined = joined.select("doc", "text", "found")
         return joined.mapInArrow(verify, out)
 
 
@@ -236,10 +237,20 @@ def occurrences(words: np.ndarray, item: np.ndarray, shift: int, window: int) ->
     return [(int(lo + s), int(lo + e)) for s, e in zip(edges[::2], edges[1::2]) if e - s >= size]
 
 
+def contaminated() -> Column:
+    """At least one hit word, and at least a twentieth of the words hit."""
+    return (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
+
+
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Digest columns per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    m = BenchmarkIndex(docs, benchmark, id_col, text_col).matches()
+    m = BenchmarkIndex(docs.select(id_col, text_col), benchmark, id_col, text_col).matches()
     return m.select(
-        F.col("doc_id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"))
+        F.col("doc")[id_col].alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                        text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    return BenchmarkIndex(docs, benchmark, id_col, text_col).matches().where(~contaminated()).select("doc.*")

@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.components import written
+
 SEED = 20
 BLOCK = 256
 SHARD_BLOCKS = 1024
@@ -111,6 +113,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), source_key(F.col(source_col)).alias("skey"),
     ).withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    sized = written(sized, "sizes")
     targets = source_targets(sized.select("skey", "size"), max_repeat)
     quotas = sainte_lague(
         targets.withColumn("seats", F.floor(F.col("total") / block)), [], ["skey"], "target", "seats")
@@ -137,7 +140,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     last = F.col("start") + F.greatest(F.col("size"), F.lit(1)) - 1
     cut = placed.withColumn("blk", F.explode(F.sequence(
         F.floor(F.col("start") / block), F.floor(last / block))))
-    hit = cut.join(chosen.withColumn("on", F.lit(1)), ["skey", "blk"], "left")
+    # the chosen blocks grow with the corpus: merged, never broadcast
+    hit = cut.join(chosen.withColumn("on", F.lit(1)).hint("merge"), ["skey", "blk"], "left")
     inside = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), (F.col("blk") + 1) * block)
                         - F.greatest(F.col("start"), F.col("blk") * block))
     keys = ["doc_id", "source", "skey", "size", "source_size", "target", "passes", "start"]

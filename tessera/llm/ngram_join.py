@@ -43,6 +43,7 @@ BLOCK_DOCS = 1024
 BLOCK_TOKENS = 1_000_000
 # similarity threshold 4/5 as integers: J >= p/q  <=>  (p+q) * shared >= p * (sizes added)
 P, Q = 4, 5
+NO_ID = 2**63 - 1
 _U = np.uint64
 
 
@@ -86,7 +87,7 @@ def set_sums(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, ngram: int, n: int) -> DataFrame:
-    """(d, s1, s2, n, mins): set identity (two sums), size and sampled tokens of every document."""
+    """(d, key, s1, s2, n, mins): set identity (two sums), size and sampled tokens of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,12 +96,12 @@ def signatures(docs: DataFrame, ngram: int, n: int) -> DataFrame:
                 s = set_sums(tokens, bounds)
                 mins = sampled(tokens, bounds, n)
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("d"), pa.array(tc.as_signed(s[0])), pa.array(tc.as_signed(s[1])),
+                    rows.column("d"), rows.column("key"), pa.array(tc.as_signed(s[0])), pa.array(tc.as_signed(s[1])),
                     pa.array(np.diff(bounds), pa.int64()),
                     tc.list_column(tc.as_signed(mins.ravel()), np.arange(len(mins) + 1) * n, pa.int64())],
-                    ["d", "s1", "s2", "n", "mins"])
+                    ["d", "key", "s1", "s2", "n", "mins"])
 
-    return docs.select("d", "text").mapInArrow(run, "d long, s1 long, s2 long, n long, mins array<long>")
+    return docs.select("d", "key", "text").mapInArrow(run, "d long, key long, s1 long, s2 long, n long, mins array<long>")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -291,15 +292,15 @@ def split_tasks(members: DataFrame) -> DataFrame:
                  .when(F.col("block") < F.col("other"), F.lit(0)).otherwise(F.lit(1)))
 
 
-def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
-                 recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, class_id, n_links) per document: class_id is the smallest id of the
-    document's class, n_links the number of other documents with a Jaccard similarity of 0.8 or more."""
+def classify(docs: DataFrame, id_col: str, text_col: str, ngram: int, recall: float, depth: int,
+             leaf: int) -> DataFrame:
+    """(d, key, n, class_d, label, n_links) per document: d is its id (null: larger than every
+    id), key its text's hash, label identifies its class (null for texts without words)."""
     spark = docs.sparkSession
-    none = 2**63 - 1
     runs = run_count(recall, depth)
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(none)).alias("d"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"),
+                       F.xxhash64(text).alias("key"), text.alias("text"))
     sigs = written(signatures(base, ngram, runs * depth), "sets")
     classes = written(sigs.where("n > 0").groupBy("s1", "s2").agg(
         F.min("d").alias("d"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"),
@@ -330,11 +331,37 @@ def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = whole.withColumn("label", F.coalesce("label", "s1"))
     heads = whole.groupBy("label").agg(F.min("d").alias("class_d"))
     whole = whole.join(heads, "label").select(
-        "s1", "s2", "class_d", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = sigs.select("d", "s1", "s2", "n").join(whole, ["s1", "s2"], "left")
+        "s1", "s2", "label", "class_d", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return sigs.select("d", "key", "s1", "s2", "n").join(whole, ["s1", "s2"], "left")
+
+
+def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+                 recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
+    """(doc_id, class_id, n_links) per document: class_id is the smallest id of the
+    document's class, n_links the number of other documents with a Jaccard similarity of 0.8 or more."""
+    out = classify(docs, id_col, text_col, ngram, recall, depth, leaf)
     full = F.col("n") > 0
     kind = docs.schema[id_col].dataType
-    clean = lambda c: F.when(c < F.lit(none), c).cast(kind)
+    clean = lambda c: F.when(c < F.lit(NO_ID), c).cast(kind)
     return out.select(
         clean(F.col("d")).alias(id_col), clean(F.when(full, F.col("class_d")).otherwise(F.col("d"))).alias("class_id"),
         F.when(full, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+             recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
+    """The rows of ``docs`` without the near-duplicates: of each class, the document of the smallest id
+    (then of the smallest text hash); a row repeated in full stays once. Texts without words all stay."""
+    found = classify(docs, id_col, text_col, ngram, recall, depth, leaf)
+    one = F.struct("d", "key")
+    kept = (found.where("n > 0").groupBy("label").agg(F.min(one).alias("k"))
+                 .select(F.col("k.d").alias("_d"), F.col("k.key").alias("_key")))
+    kept = written(kept, "kept")
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    stays = docs.where(words).join(
+        kept, (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("_d")) & (key == F.col("_key")), "left_semi")
+    # a kept (id, text) that occurs in several rows would stay several times
+    if not found.where("n > 0").groupBy("d", "key").count().where("count > 1").isEmpty():
+        stays = stays.dropDuplicates([id_col, text_col])
+    return stays.unionByName(docs.where(~words))

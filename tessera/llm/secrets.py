@@ -155,9 +155,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.sha2(joined(F.col("secret_base")), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFrame:
-    """``docs`` with every reported span of the text replaced by ``mask``; overlapping spans are masked as one."""
-    text = F.col(text_col)
+def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, length_col: str | None = None) -> DataFrame:
+    """``docs`` with every reported span of the text replaced by ``mask`` (overlapping spans as one);
+    ``length_col``, if given, becomes the new length of changed texts. All columns stay."""
+    found = scan(docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text")), "text")
+    text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -169,6 +171,15 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
 
     clean = F.aggregate("secret_spans", start, step,
                         lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text))))
-    found = scan(docs, text_col)
-    return found.withColumn(text_col, F.when(F.size("secret_spans") > 0, clean).otherwise(text)).drop(
-        "secret_base", "secret_spans")
+    changed = F.size("secret_spans") > 0
+    out = found.withColumn("text", F.when(changed, clean).otherwise(text)).withColumn("changed", changed)
+
+    def column(field) -> Column:
+        own = F.col("doc")[field.name]
+        if field.name == text_col:
+            own = F.col("text")
+        elif field.name == length_col:
+            own = F.when(F.col("changed"), F.length("text")).otherwise(own).cast(field.dataType)
+        return own.alias(field.name)
+
+    return out.select(*[column(f) for f in docs.schema.fields])

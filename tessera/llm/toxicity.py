@@ -498,3 +498,17 @@ def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text
     return scored.select(
         F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, machine: Machine | None, text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores under the threshold, with all their columns, without a shuffle."""
+    if machine is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, _, _ in tc.pieces(batch, text_col):
+                yield rows.filter(pa.array(machine.scores(rows.column(text_col)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
