@@ -8,6 +8,9 @@ folder, which cuts the lineage and survives lost executors.
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +66,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps whose results are already written.
 
-    Spark removes them when the driver's JVM collects the plans that own
-    them, which else may take until the end of the job.
+    Spark removes them when the driver's JVM collects the plans that own them, which else may
+    take until the end of the job. Python's handles of these plans go first, a moment later.
     """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
