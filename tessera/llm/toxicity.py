@@ -285,12 +285,32 @@ class Bags:
 
     def __init__(self, texts: list[str], toxic: np.ndarray):
         self.toxic = toxic
-        self.data, offs = lowered(pa.array(texts, pa.string()))
-        starts, ends, row = words(self.data, offs)
-        _, first, inverse = np.unique(tc.span_hash(self.data, starts, ends), return_index=True, return_inverse=True)
-        self.starts, self.ends = starts[first], ends[first]
-        pair = np.unique(row.astype(np.int64) * max(1, len(first)) + inverse)
-        self.text, self.word = pair // max(1, len(first)), pair % max(1, len(first))
+        size = np.array([len(t) for t in texts])
+        keys, data, starts, ends, text, key = [], [], [], [], [], []
+        base = 0
+        for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(np.cumsum(size) // tc.PIECE_BYTES)) + 1):
+            raw, offs = lowered(pa.array([texts[i] for i in part], pa.string()))
+            begin, end, row = words(raw, offs)
+            if not len(begin):
+                continue
+            found, first, inverse = np.unique(tc.span_hash(raw, begin, end), return_index=True, return_inverse=True)
+            # of every piece, only the characters of its distinct words are kept
+            length = (end - begin)[first]
+            at = np.cumsum(length) - length
+            data.append(raw[np.repeat(begin[first] - at, length) + np.arange(length.sum())])
+            starts.append(at + base)
+            ends.append(at + length + base)
+            base += int(length.sum())
+            keys.append(found)
+            pair = np.unique(row.astype(np.int64) * len(found) + inverse)
+            text.append(part[pair // len(found)].astype(np.int32))
+            key.append(found[pair % len(found)])
+        none = [np.zeros(0, np.int64)]
+        _, first = np.unique(np.concatenate(keys or none), return_index=True)
+        self.data = np.concatenate(data or [np.zeros(0, np.uint8)])
+        self.starts, self.ends = np.concatenate(starts or none)[first], np.concatenate(ends or none)[first]
+        self.text = np.concatenate(text or none)
+        self.word = np.searchsorted(np.concatenate(keys or none)[first], np.concatenate(key or none)).astype(np.int32)
 
     def rows(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in ``pick``, slot, weight), normalised; a long word is described by its first part."""
@@ -300,7 +320,7 @@ class Bags:
             for i in range(0, len(once), 2000):
                 r, s, w = features(m[once[i:i + 2000]])
                 norm = np.sqrt(np.bincount(r, w * w))
-                out.append((word[once[i:i + 2000]][r], s, w / norm[r]))
+                out.append((word[once[i:i + 2000]][r], s, (w / norm[r]).astype(np.float32)))
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def first_signal(self) -> np.ndarray:
@@ -309,8 +329,8 @@ class Bags:
         for word, m in matrices(self.data, self.starts, self.ends):
             code, valid = slots(m, (1, 2, 3))
             r, c = np.nonzero(valid)
-            run.append(code[r, c])
-            owner.append(word[r])
+            run.append(code[r, c].astype(np.int32))
+            owner.append(word[r].astype(np.int32))
         out = np.zeros(len(self.starts))
         if not run:
             return out
@@ -319,15 +339,19 @@ class Bags:
         order = np.argsort(owner, kind="stable")
         run, owner = run[order], owner[order]
         bounds = np.searchsorted(owner, np.arange(len(out) + 1))
-        held = np.diff(bounds)[self.word]
-        at = np.repeat(bounds[self.word], held) + np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
         n = int(run.max()) + 1
-        seen = np.unique(np.repeat(self.text, held).astype(np.int64) * n + run[at])
-        t = np.bincount(seen % n, self.toxic[seen // n], n)
-        c = np.bincount(seen % n, 1 - self.toxic[seen // n], n)
+        t, c = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        cuts = np.searchsorted(self.text, np.arange(0, len(self.toxic) + 250, 250))
+        for i, j in zip(cuts[:-1], cuts[1:]):  # some texts at a time
+            held = np.diff(bounds)[self.word[i:j]]
+            at = np.repeat(bounds[self.word[i:j]], held) + np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+            seen = np.unique(np.repeat(self.text[i:j], held).astype(np.int64) * n + run[at])
+            toxic = self.toxic[seen // n] == 1
+            t += np.bincount(seen[toxic] % n, minlength=n)
+            c += np.bincount(seen[~toxic] % n, minlength=n)
         nt, nc = max(1, self.toxic.sum()), max(1, len(self.toxic) - self.toxic.sum())
         pt, p0 = (t + 0.5) / (nt + 1), (c + 0.5) / (nc + 1)
-        ratio = np.where(pt > p0, t * np.log(pt / p0) - c * 0, 0) - c * np.abs(np.log(pt / p0))
+        ratio = np.where(pt > p0, t * np.log(pt / p0), 0) - c * np.abs(np.log(pt / p0))
         np.maximum.at(out, owner, ratio[run])
         return out
 
@@ -390,9 +414,9 @@ def _fit(bags: Bags, marks: np.ndarray, positive: np.ndarray, count: np.ndarray,
     """Nystroem map of the landmarks, linear machine, and its weights per subsequence."""
     r, s, w = bags.rows(marks)
     slot, column = np.unique(s, return_inverse=True)
-    phi = np.zeros((len(marks), len(slot)))
+    phi = np.zeros((len(marks), len(slot)), np.float32)
     phi[r, column] = w
-    gram = phi @ phi.T
+    gram = (phi @ phi.T).astype(np.float64)
     value, vector = np.linalg.eigh(gram)
     good = value > 1e-6 * value.max()
     whiten = vector[:, good] / np.sqrt(value[good])
@@ -404,14 +428,13 @@ def _fit(bags: Bags, marks: np.ndarray, positive: np.ndarray, count: np.ndarray,
         r, at, w = r[on], at[on], w[on]
         order = np.argsort(r, kind="stable")
         r, at, w = r[order], at[order], w[order]
-        k = np.zeros((len(pick), len(marks)))
-        cuts = np.searchsorted(r, np.arange(0, len(pick) + 500, 500))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a < b:
-                dense = np.zeros((500, len(slot)), np.float32)
-                dense[r[a:b] - r[a:b].min() // 500 * 500, at[a:b]] = w[a:b]
-                base = int(r[a:b].min() // 500 * 500)
-                k[base:base + 500] = (dense @ phi.T.astype(np.float32))[:len(pick) - base]
+        k = np.zeros((len(pick), len(marks)), np.float32)
+        step = 200
+        for base in range(0, len(pick), step):
+            a, b = np.searchsorted(r, (base, base + step))
+            dense = np.zeros((min(step, len(pick) - base), len(slot)), np.float32)
+            dense[r[a:b] - base, at[a:b]] = w[a:b]
+            k[base:base + step] = dense @ phi.T
         return k @ whiten
 
     x = np.r_[describe(positive), describe(negative)]
@@ -421,7 +444,7 @@ def _fit(bags: Bags, marks: np.ndarray, positive: np.ndarray, count: np.ndarray,
     mass[len(positive):] /= mass[len(positive):].sum()
     v, b = squared_hinge(x, y, mass)
     # the decision without its constant, which the logistic curve takes over
-    beta = (whiten @ v) @ phi
+    beta = (whiten @ v).astype(np.float32) @ phi
     return Machine(slot, beta)
 
 
