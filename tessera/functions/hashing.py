@@ -7,7 +7,10 @@ expressions derive the number from the row's key instead: the same key and
 seed always land in the same split or fold, on any cluster, and the value is
 reproducible in plain SQL:
 
-    conv(substr(md5(concat_ws(':', seed[, salt], key...)), 1, 8), 16, 10) / 2^32
+    conv(substr(md5(concat(seed[, ':', salt], part...)), 1, 8), 16, 10) / 2^32
+
+where the part of a key value is ``:<length>:<value>``, and ``:-`` for NULL, so
+NULLs, separators inside values and the borders of parts are all told apart.
 
 Everything here is a JVM-side Column expression (inside whole-stage codegen);
 no shuffle and no Python worker is involved.
@@ -23,18 +26,22 @@ from pyspark.sql import functions as F
 TWO_POW_32 = 4294967296.0
 
 
-def _key_string(seed: int, keys: Sequence[str | Column], salt: str | None) -> Column:
-    parts: list[Column] = [F.lit(str(seed))]
-    if salt is not None:
-        parts.append(F.lit(salt))
+def key_text(keys: Sequence[str | Column]) -> Column:
+    """The key values as one string that tells NULLs, separators and borders apart."""
+    parts = []
     for k in keys:
-        c = F.col(k) if isinstance(k, str) else k
-        parts.append(c.cast("string"))
-    return F.concat_ws(":", *parts)
+        text = (F.col(k) if isinstance(k, str) else k).cast("string")
+        size = F.length(text).cast("string")
+        parts.append(F.coalesce(F.concat(F.lit(":"), size, F.lit(":"), text), F.lit(":-")))
+    return F.concat(*parts)
+
+
+def _key_string(seed: int, keys: Sequence[str | Column], salt: str | None) -> Column:
+    return F.concat(F.lit(str(seed) if salt is None else f"{seed}:{salt}"), key_text(keys))
 
 
 def hash_unit(seed: int, keys: Sequence[str | Column], salt: str | None = None) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of md5(seed:[salt:]key)."""
+    """Uniform number in [0, 1) from the first 32 bits of md5 of the seed, the salt and the key."""
     hex8 = F.substring(F.md5(_key_string(seed, keys, salt)), 1, 8)
     return F.conv(hex8, 16, 10).cast("bigint") / F.lit(TWO_POW_32)
 

@@ -30,9 +30,3 @@ def vector_sum(vector_col: str) -> "F.Column":
     arr = vector_to_array(F.col(vector_col), dtype="float64")
     return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
 
-
-def array_to_columns(df: DataFrame, array_col: str, prefix: str, width: int,
-                     keep: Sequence[str]) -> DataFrame:
-    """Spread an array column into ``prefix1..prefixN`` double columns."""
-    items = [F.col(array_col).getItem(i).cast("double").alias(f"{prefix}{i + 1}") for i in range(width)]
-    return df.select(*keep, *items)

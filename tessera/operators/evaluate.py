@@ -54,10 +54,3 @@ def metrics_from_confusion(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                      / ((F.col("n_true") + F.col("n_pred")) * F.col("total"))).otherwise(0.0)).alias("f1"),
     )
 
-
-def accuracy(pred: DataFrame, label_col: str = "label_indexed", prediction_col: str = "prediction") -> DataFrame:
-    return metrics(pred, label_col, prediction_col).select("accuracy")
-
-
-def weighted_f1(pred: DataFrame, label_col: str = "label_indexed", prediction_col: str = "prediction") -> DataFrame:
-    return metrics(pred, label_col, prediction_col).select("f1")

@@ -23,13 +23,6 @@ def add_split(df: DataFrame, keys: Sequence[str], seed: int, train_fraction: flo
     return df.withColumn(col, split_label(seed, keys, train_fraction, salt))
 
 
-def holdout_split(df: DataFrame, keys: Sequence[str], seed: int, train_fraction: float = 0.7,
-                  salt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(train, test) views of one keyed split."""
-    u = hash_unit(seed, keys, salt)
-    return df.where(u < F.lit(train_fraction)), df.where(u >= F.lit(train_fraction))
-
-
 def random_split(df: DataFrame, seed: int, weights: Sequence[float] = (0.7, 0.3)) -> list[DataFrame]:
     """Spark's Bernoulli split; depends on the partitioning of ``df``."""
     return df.randomSplit(list(weights), seed=seed)

@@ -27,7 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -62,10 +62,7 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     return f"{base}/{sub}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage, whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

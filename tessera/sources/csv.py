@@ -1,7 +1,7 @@
 """Delimited-text scans and sinks.
 
-The scan is schema-on-read: the caller fixes the schema (here generated from a
-column count: ``feature_1 .. feature_{n-1}`` as double plus a string label),
+The scan is schema-on-read: the caller fixes the schema (:func:`labelled_schema`
+of its column names, or of :func:`numbered` ones for files without a header),
 nothing is inferred, and the default PERMISSIVE mode turns unparsable cells
 and missing trailing fields into NULL. CSV is a row format without predicate
 pushdown or a vectorised reader, so callers that scan the same text more than
@@ -10,21 +10,26 @@ once should land it as Parquet first (see :func:`land_as_parquet`).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def feature_schema(columns_no: int, prefix: str = "feature_", label_col: str = "label") -> StructType:
-    """``columns_no - 1`` nullable double features named ``prefix1..`` and a string label."""
-    if columns_no < 2:
-        raise ValueError("columns_no must count at least one feature and the label")
-    fields = [StructField(f"{prefix}{i + 1}", DoubleType(), True) for i in range(columns_no - 1)]
-    fields.append(StructField(label_col, StringType(), True))
-    return StructType(fields)
+def labelled_schema(numeric: Iterable[str], label: str = "label") -> StructType:
+    """Schema of a labelled table: the given double columns in order, then a string label."""
+    schema = StructType()
+    for name in numeric:
+        schema = schema.add(name, "double")
+    if not len(schema):
+        raise ValueError("a labelled table needs at least one numeric column")
+    return schema.add(label, "string")
 
 
-def feature_names(columns_no: int, prefix: str = "feature_") -> list[str]:
-    return [f"{prefix}{i + 1}" for i in range(columns_no - 1)]
+def numbered(count: int, stem: str = "feature_") -> tuple[str, ...]:
+    """Column names of a file without a header: the stem and the column's position from 1."""
+    return tuple(map(f"{stem}{{}}".format, range(1, count + 1)))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
@@ -53,10 +58,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     return path
 
 
-def land_as_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+def land_as_parquet(df: DataFrame, path: str, row_id: str | None = None) -> DataFrame:
     """Write once as Parquet and return a scan of it: later passes get column
     pruning, predicate pushdown and the vectorised reader, and the lineage to
     the text scan is cut (the copy sits in shared storage, so it survives
-    executor loss)."""
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    executor loss). With ``row_id`` every row gets a number of its own, which is
+    fixed from then on because it is stored."""
+    out = df if row_id is None else df.withColumn(row_id, F.monotonically_increasing_id())
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
