@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml.feature import (StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.select import CHI2_MAX_CATEGORIES, ChiSqTopK
+from tessera.operators.select import ChiSqTopK
 
 
 def fit_label_index(df: DataFrame, label_col: str = "label", output_col: str = "label_indexed",
@@ -25,18 +25,12 @@ def index_label(df: DataFrame, label_col: str = "label", output_col: str = "labe
 
 
 def label_frequency_index(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """``(label, n, label_indexed)``: the indexer's mapping with label counts.
-
-    The fitted label list has one entry per class; it enters the plan as a
-    literal array, so the lookup is a projection over the grouped counts.
-    """
-    model = fit_label_index(df, label_col)
-    labels = F.array(*[F.lit(x) for x in model.labels])
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
-        F.col(label_col).alias("label"), "n",
-        (F.array_position(labels, F.col(label_col)) - 1).cast("double").alias("label_indexed"),
-    )
+    """``(label, n, label_indexed)``: the indexer's mapping with label counts, from one grouped
+    count. The numbering window runs over the class rows, so this is meant for class labels."""
+    counts = df.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("label")).agg(
+        F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy(F.col("n").desc(), "label")
+    return counts.select("label", "n", (F.row_number().over(order) - 1).cast("double").alias("label_indexed"))
 
 
 def assemble(df: DataFrame, cols: Sequence[str], output_col: str = "features",
@@ -74,21 +68,17 @@ def chi2_scores(df: DataFrame, features_col: str = "features", label_col: str =
 
 
 def chi2_selector(k: int, features_col: str = "features", output_col: str = "selected_features",
-                  label_col: str = "label_indexed", num_buckets: int = 64,
-                  max_categories: int = CHI2_MAX_CATEGORIES) -> ChiSqTopK:
-    """Top-k features by chi-square p-value (ties by index), the result of the
-    deprecated ``ChiSqSelector(numTopFeatures=k)``; slots with more distinct
-    values than Spark's test accepts are quantile-binned first."""
+                  label_col: str = "label_indexed", bins: int | None = None) -> ChiSqTopK:
+    """Top-k features by chi-square; with ``bins`` every slot is first cut into that many
+    equal-width bins (for continuous columns), without it every distinct value is a category."""
     if k is None or k < 1:
         raise ValueError("chi-square selection needs the number of features to keep (k >= 1)")
-    return ChiSqTopK(numTopFeatures=k, featuresCol=features_col, outputCol=output_col, labelCol=label_col,
-                     numBuckets=num_buckets, maxCategories=max_categories)
+    return ChiSqTopK(numTopFeatures=k, featuresCol=features_col, outputCol=output_col, labelCol=label_col, bins=bins or 0)
 
 
 def chi2_select_topk(df: DataFrame, cols: Sequence[str], k: int, label_col: str = "label_indexed",
-                     num_buckets: int = 64, max_categories: int = CHI2_MAX_CATEGORIES) -> list[str]:
+                     bins: int | None = None) -> list[str]:
     """Names of the k columns the chi-square selector keeps."""
     assembled = assemble(df, cols, "__chi2_features")
-    model = chi2_selector(k, "__chi2_features", "__chi2_selected", label_col, num_buckets,
-                          max_categories).fit(assembled)
+    model = chi2_selector(k, "__chi2_features", "__chi2_selected", label_col, bins).fit(assembled)
     return [cols[i] for i in model.selectedFeatures]

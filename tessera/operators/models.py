@@ -8,7 +8,6 @@ small tables (one row per split or coefficient, bounded by the model size).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,37 +33,39 @@ def fit_tree(train: DataFrame, seed: int | None = None, features_col: str = "fea
     return tree_classifier(seed, features_col, label_col, **params).fit(train)
 
 
-_SPLIT_RE = re.compile(r"If \(feature (\d+) <= ([^)]+)\)")
-_CAT_RE = re.compile(r"If \(feature (\d+) in \{([^}]*)\}\)")
-
-SPLIT_SCHEMA = StructType([
-    StructField("node", LongType()), StructField("depth", LongType()),
-    StructField("feature_index", LongType()), StructField("feature", StringType()),
+NODE_SCHEMA = StructType([
+    StructField("node", LongType()), StructField("depth", LongType()), StructField("left", LongType()),
+    StructField("right", LongType()), StructField("feature_index", LongType()), StructField("feature", StringType()),
     StructField("threshold", DoubleType()), StructField("categories", StringType()),
+    StructField("prediction", DoubleType()), StructField("impurity", DoubleType()),
 ])
 
 
-def tree_splits(spark: SparkSession, model: DecisionTreeClassificationModel,
-                names: Sequence[str] | None = None) -> DataFrame:
-    """Internal nodes of a fitted tree as rows (pre-order).
-
-    Read from the model's public text rendering; its length is bounded by the
-    tree size (at most 2^maxDepth - 1 internal nodes).
-    """
-    rows = []
-    for line in model.toDebugString.splitlines():
-        depth = (len(line) - len(line.lstrip(" "))) // 1
-        m = _SPLIT_RE.search(line)
-        c = _CAT_RE.search(line)
-        if not (m or c):
-            continue
-        idx = int((m or c).group(1))
-        name = names[idx] if names is not None else None
-        if m:
-            rows.append((len(rows), depth, idx, name, float(m.group(2)), None))
-        else:
-            rows.append((len(rows), depth, idx, name, None, c.group(2)))
-    return spark.createDataFrame(rows, SPLIT_SCHEMA)
+def tree_nodes(spark: SparkSession, model: DecisionTreeClassificationModel,
+               names: Sequence[str] | None = None) -> DataFrame:
+    """All nodes of a fitted tree in pre-order: the root is node 0 at depth 0; inner nodes have
+    children and a split (``left`` holds values <= threshold, or the categories), leaves have
+    neither. At most 2^(maxDepth + 1) - 1 rows."""
+    rows: list[list] = []
+
+    def walk(node, depth: int) -> int:
+        number = len(rows)
+        rows.append([number, depth, None, None, None, None, None, None, float(node.prediction()), float(node.impurity())])
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            index = split.featureIndex()
+            row = rows[number]
+            row[4], row[5] = index, None if names is None else names[index]
+            if split.getClass().getSimpleName() == "ContinuousSplit":
+                row[6] = float(split.threshold())
+            else:
+                row[7] = ",".join(f"{c:g}" for c in split.leftCategories())
+            row[2] = walk(node.leftChild(), depth + 1)
+            row[3] = walk(node.rightChild(), depth + 1)
+        return number
+
+    walk(model._call_java("rootNode"), 0)
+    return spark.createDataFrame([tuple(r) for r in rows], NODE_SCHEMA)
 
 
 def logistic(features_col: str = "features", label_col: str = "label_indexed", reg_param: float = 0.0,
@@ -112,16 +113,14 @@ def _is_multinomial(model: LogisticRegressionModel) -> bool:
 
 
 def scaled_logistic(features_col: str = "features", label_col: str = "label_indexed", reg_param: float = 0.0,
-                    elastic_net: float = 0.0, select_k: int | None = None, **params) -> Pipeline:
+                    elastic_net: float = 0.0, select_k: int | None = None, select_bins: int | None = None,
+                    **params) -> Pipeline:
     """Pipeline: unit-std scaler [-> chi-square top-k selector] -> logistic regression."""
     stages = [unit_std_scaler(features_col, "scaled_features")]
     lr_input = "scaled_features"
     if select_k is not None:
-        stages.append(chi2_selector(select_k, "scaled_features", "selected_features", label_col))
+        stages.append(chi2_selector(select_k, "scaled_features", "selected_features", label_col, select_bins))
         lr_input = "selected_features"
     stages.append(logistic(lr_input, label_col, reg_param, elastic_net, **params))
     return Pipeline(stages=stages)
 
-
-def last_stage(model: PipelineModel):
-    return model.stages[-1]

@@ -58,13 +58,14 @@ def profile(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: boo
     )
 
 
-def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, n_null)`` for every column, one pass."""
-    one = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__z{i}")
-                   for i, c in enumerate(cols)])
+def null_counts(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> DataFrame:
+    """``(feature, n_null)`` for every column, one pass; NaN counts as missing, as in :func:`profile`."""
+    def missing(c: str) -> Column:
+        numeric = df.schema[c].dataType.typeName() in ("double", "float")
+        return (as_missing(c) if nan_as_null and numeric else F.col(c)).isNull()
+    one = df.agg(*[F.count_if(missing(c)).alias(f"__z{i}") for i, c in enumerate(cols)])
     return one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(f"__z{i}"), F.lit(0)).cast("bigint").alias("n_null"))
-        for i, c in enumerate(cols)])))
+        F.struct(F.lit(c).alias("feature"), F.col(f"__z{i}").alias("n_null")) for i, c in enumerate(cols)])))
 
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFrame:

@@ -1,89 +1,100 @@
-"""Chi-square top-k feature selection that also works on continuous data.
-
-Spark's chi-square test treats every distinct value as a category and
-refuses features with more than 10,000 of them, so on real continuous
-columns (and on any large table) the selector fails. :class:`ChiSqTopK` is a
-pipeline stage built from Spark's own stages:
-
-1. when the input has more rows than the limit, one aggregate of
-   approximate distinct counts per vector slot;
-2. slots over the limit are quantile-binned (``QuantileDiscretizer``:
-   one approximate-quantile pass); the others keep their values, so on
-   inputs within the limit the result equals ``ChiSqSelector`` /
-   ``UnivariateFeatureSelector`` exactly;
-3. ``UnivariateFeatureSelector`` (categorical features and label,
-   ``numTopFeatures``) picks the slots on the (partly binned) vector;
-4. the model is a ``VectorSlicer`` of those slots on the original vector.
+"""Chi-square top-k feature selection.
+
+:class:`ChiSqTopK` scores every slot of a vector against the label by Pearson's test and
+keeps the k best; the model is a ``VectorSlicer``. Two things are explicit, so the same
+table gives the same answer at every size:
+
+* **Binning** is an argument. With ``bins`` = 0 every distinct value is a category, which is
+  Spark's own semantics (its test refuses a slot of more than 10,000 values). With
+  ``bins`` > 0 every slot is cut into that many equal-width bins between its minimum and maximum, which come
+  from one aggregate; missing values form a bin of their own.
+* **Rank.** p-values underflow to 0 on large tables and then tie. Slots are ranked by p-value, then by the
+  statistic normalised for its degrees of freedom (Wilson-Hilferty), then by index; scores that
+  agree to 9 digits count as equal, so rounding noise decides nothing.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import QuantileDiscretizer, UnivariateFeatureSelector, VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasOutputCol
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHI2_MAX_CATEGORIES = 10000
+
+def normal_score(statistic: float, dof: int) -> float:
+    """Standard-normal score of a chi-square statistic (Wilson-Hilferty); grows without underflow."""
+    if dof <= 0:
+        return -math.inf
+    c = 2.0 / (9.0 * dof)
+    return ((statistic / dof) ** (1.0 / 3.0) - (1.0 - c)) / math.sqrt(c)
+
+
+def _digits(x: float, n: int = 9) -> float:
+    return float(f"{x:.{n - 1}e}") if math.isfinite(x) else x
+
+
+def rank_slots(rows: list[tuple[int, float, int, float]]) -> list[int]:
+    """Slot indices, best first, of (index, p_value, dof, statistic) rows."""
+    return [i for i, *_ in sorted(rows, key=lambda r: (_digits(r[1]), -_digits(normal_score(r[3], r[2])), r[0]))]
+
+
+def bin_slots(arr: Column, low: list[float | None], high: list[float | None], bins: int) -> Column:
+    """Array of bin numbers 0..bins-1 of an array column; missing values get bin ``bins``."""
+    out = []
+    for i, (lo, hi) in enumerate(zip(low, high)):
+        x = F.nanvl(arr[i], F.lit(None).cast("double"))
+        if lo is None or hi <= lo:
+            cut = F.lit(0.0)
+        else:
+            cut = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)).cast("double"), F.lit(bins - 1.0))
+        out.append(F.when(x.isNull(), F.lit(float(bins))).otherwise(cut))
+    return F.array(*out)
 
 
 class _ChiSqTopKParams(HasFeaturesCol, HasOutputCol, HasLabelCol):
     numTopFeatures = Param(Params._dummy(), "numTopFeatures", "number of features to keep",
                            typeConverter=TypeConverters.toInt)
-    numBuckets = Param(Params._dummy(), "numBuckets", "quantile bins for slots over the category limit",
-                       typeConverter=TypeConverters.toInt)
-    maxCategories = Param(Params._dummy(), "maxCategories", "distinct values a slot may have unbinned",
-                          typeConverter=TypeConverters.toInt)
+    bins = Param(Params._dummy(), "bins", "equal-width bins per slot; 0: every distinct value is a category",
+                 typeConverter=TypeConverters.toInt)
 
     def __init__(self, *args):
         super().__init__(*args)
-        self._setDefault(numTopFeatures=50, numBuckets=64, maxCategories=CHI2_MAX_CATEGORIES,
-                         featuresCol="features", outputCol="selected_features", labelCol="label_indexed")
+        self._setDefault(numTopFeatures=50, bins=0, featuresCol="features", outputCol="selected_features",
+                         labelCol="label_indexed")
 
 
 class ChiSqTopK(Estimator, _ChiSqTopKParams):
     @keyword_only
     def __init__(self, *, numTopFeatures: int = 50, featuresCol: str = "features",
-                 outputCol: str = "selected_features", labelCol: str = "label_indexed",
-                 numBuckets: int = 64, maxCategories: int = CHI2_MAX_CATEGORIES):
+                 outputCol: str = "selected_features", labelCol: str = "label_indexed", bins: int = 0):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "ChiSqTopKModel":
-        feats, label = self.getFeaturesCol(), self.getLabelCol()
-        width = len(df.select(feats).first()[0])
-        arr = vector_to_array(F.col(feats), dtype="float64")
-        slots = df.select(*[arr.getItem(i).alias(f"__s{i}") for i in range(width)], F.col(label).alias("__y"))
-        limit = self.getOrDefault(self.maxCategories)
-        wide: list[str] = []
-        if slots.count() > limit:  # with fewer rows no slot can pass the limit
-            # HyperLogLog estimates (5% error): bin with a margin below the limit
-            distinct = slots.agg(*[F.approx_count_distinct(f"__s{i}", 0.05).alias(f"d{i}")
-                                   for i in range(width)]).first()
-            wide = [f"__s{i}" for i in range(width) if distinct[f"d{i}"] > 0.9 * limit]
-        if wide:
-            qd = QuantileDiscretizer(inputCols=wide, outputCols=[f"{c}_b" for c in wide],
-                                     numBuckets=self.getOrDefault(self.numBuckets), handleInvalid="keep")
-            slots = qd.fit(slots).transform(slots)
-        cols = [f"__s{i}_b" if f"__s{i}" in wide else f"__s{i}" for i in range(width)]
-        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="keep").transform(slots)
-        sel = UnivariateFeatureSelector(featuresCol="__v", outputCol="__sel", labelCol="__y",
-                                        selectionMode="numTopFeatures")
-        sel.setFeatureType("categorical").setLabelType("categorical")
-        sel.setSelectionThreshold(float(self.getOrDefault(self.numTopFeatures)))
-        chosen = sorted(sel.fit(vec).selectedFeatures)
-        model = ChiSqTopKModel(chosen, binned=[int(c[3:]) for c in wide])
-        return self._copyValues(model)
+        label, bins = self.getLabelCol(), self.getOrDefault(self.bins)
+        tested = df.select(F.col(self.getFeaturesCol()).alias("x"), F.col(label).alias("y"))
+        if bins:
+            arr = vector_to_array(F.col("x"), dtype="float64")
+            width = len(tested.first()["x"])
+            slot = [F.nanvl(arr[i], F.lit(None).cast("double")) for i in range(width)]
+            ends = tested.agg(F.array(*map(F.min, slot)).alias("low"), F.array(*map(F.max, slot)).alias("high")).first()
+            tested = tested.select(array_to_vector(bin_slots(arr, ends["low"], ends["high"], bins)).alias("x"), "y")
+        scores = ChiSquareTest.test(tested, "x", "y", flatten=True).collect()  # one row per slot
+        order = rank_slots([(r["featureIndex"], r["pValue"], r["degreesOfFreedom"], r["statistic"]) for r in scores])
+        return self._copyValues(ChiSqTopKModel(sorted(order[:self.getOrDefault(self.numTopFeatures)])))
 
 
 class ChiSqTopKModel(Model, _ChiSqTopKParams):
-    def __init__(self, selected: list[int] | None = None, binned: list[int] | None = None):
+    def __init__(self, selected: list[int] | None = None):
         super().__init__()
         self.selectedFeatures = list(selected or [])
-        self.binnedFeatures = list(binned or [])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return VectorSlicer(inputCol=self.getFeaturesCol(), outputCol=self.getOutputCol(),
@@ -92,5 +103,4 @@ class ChiSqTopKModel(Model, _ChiSqTopKParams):
     def copy(self, extra=None):
         that = super().copy(extra)
         that.selectedFeatures = list(self.selectedFeatures)
-        that.binnedFeatures = list(self.binnedFeatures)
         return that
