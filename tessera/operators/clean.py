@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.layout import cache_sized
 from tessera.operators.profile import as_missing, means_row, stats_row
-from tessera.session import shared_dir
+from tessera.session import remove_dir, shared_dir
+from tessera.sources.csv import land_as_parquet
 
 
 def fit_means(df: DataFrame, cols: Sequence[str], nan_as_null: bool = True) -> dict[str, float | None]:
@@ -74,15 +75,14 @@ def _materialise(df: DataFrame, how: str) -> tuple[DataFrame, callable]:
         return held, held.unpersist
     if how == "parquet":
         path = shared_dir(df.sparkSession, "seqfilter")
-        df.write.parquet(path)
-        return df.sparkSession.read.parquet(path), (lambda: None)
+        return land_as_parquet(df, path), lambda: remove_dir(df.sparkSession, path)
     if how == "none":
         return df, (lambda: None)
     raise ValueError(f"unknown materialisation {how!r}")
 
 
 def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                      materialise: str = "cache", refresh_every: int = 8) -> list[dict]:
+                      materialise: str = "parquet", refresh_every: int = 8) -> list[dict]:
     """Bounds of the sequential k-sigma filter, in column order.
 
     Returns one record per column: ``column, mean, sd, lo, hi, applied``.
@@ -121,7 +121,7 @@ def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as
 
 
 def outlier_filter_sequential(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                              materialise: str = "cache", fit_where=None) -> DataFrame:
+                              materialise: str = "parquet", fit_where=None) -> DataFrame:
     """Drop rows outside mean +/- k*sd, column by column, each column's
     statistics taken over the rows kept so far (order matters). With
     ``fit_where`` the bounds come from those rows only and filter all rows."""
@@ -131,7 +131,7 @@ def outlier_filter_sequential(df: DataFrame, cols: Sequence[str], k: float = 3.0
     return df.where(bounds_predicate(kept)) if kept else df
 
 
-def clean(df: DataFrame, cols: Sequence[str], k: float = 3.0, materialise: str = "cache",
+def clean(df: DataFrame, cols: Sequence[str], k: float = 3.0, materialise: str = "parquet",
           fit_where=None) -> DataFrame:
     """Mean imputation followed by the sequential k-sigma filter; statistics
     from all rows (the programs' behaviour) or from ``fit_where`` rows only."""

@@ -5,21 +5,24 @@ the training rows, predict all rows once and reduce train and test metrics in
 one aggregate. Runs are independent Spark jobs, submitted from a small thread
 pool so several fits share the cluster. Every run yields a few metric rows
 (bounded by runs x splits); they form the long result table
-``(model, run, seed, split, n, accuracy, f1)`` from which the wide results
+``(model, run, seed, split, n, accuracy, f1, elapsed_s)`` from which the wide results
 table, the min/max/mean/SD summary and the CSV sink are ordinary queries.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from tessera.functions.hashing import key_text
 from tessera.operators.evaluate import metrics
-from tessera.operators.layout import cache_counted, fit_concurrency
+from tessera.operators.layout import FIT_BYTES, cache_counted, fit_concurrency, vector_width
 from tessera.operators.split import add_split
 from tessera.sources.csv import write_csv
 
@@ -31,31 +34,36 @@ SEEDS_B = [42, 123, 456, 789, 101112, 131415, 161718, 192021, 222324, 252627]
 RESULT_SCHEMA = StructType([
     StructField("model", StringType()), StructField("run", LongType()), StructField("seed", LongType()),
     StructField("split", StringType()), StructField("n", LongType()),
-    StructField("accuracy", DoubleType()), StructField("f1", DoubleType()),
+    StructField("accuracy", DoubleType()), StructField("f1", DoubleType()), StructField("elapsed_s", DoubleType()),
 ])
 
 Factory = Callable[[int], object]  # seed -> pyspark.ml Estimator
 
 
-def _run_once(df: DataFrame, keys: Sequence[str], split_seed: int, model_seed: int, factory: Factory,
+def _run_once(df: DataFrame, split_seed: int, model_seed: int, factory: Factory,
               label_col: str, train_fraction: float) -> list[tuple]:
-    tagged = add_split(df, keys, split_seed, train_fraction)
+    began = time.perf_counter()
+    tagged = add_split(df, ["__key"], split_seed, train_fraction)
     model = factory(model_seed).fit(tagged.where(F.col("split") == "train"))
     rows = metrics(model.transform(tagged), label_col, "prediction", by=["split"]).collect()
-    return [(r["split"], r["n"], r["accuracy"], r["f1"]) for r in rows]
+    took = time.perf_counter() - began
+    return [(r["split"], r["n"], r["accuracy"], r["f1"], took) for r in rows]
 
 
-def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_col: str,
-                  train_fraction: float, parallelism: int) -> list[tuple]:
-    held, n = cache_counted(df)
-    parallelism = fit_concurrency(int(n * train_fraction), parallelism)
+def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_col: str, train_fraction: float,
+                  parallelism: int, features_col: str, fit_bytes: int) -> list[tuple]:
+    # every run reads the key, the label and the vector; a lone key keeps its own value, several become one string
+    key = F.col(keys[0]) if len(keys) == 1 else key_text(keys)
+    lean = df.select(key.alias("__key"), label_col, features_col)
+    held, n = cache_counted(lean)
+    parallelism = fit_concurrency(int(n * train_fraction), vector_width(df, features_col), parallelism, fit_bytes)
     try:
         def go(job):
             name, run, split_seed, model_seed, factory = job
             return [(name, run, model_seed, *m) for m in
-                    _run_once(held, keys, split_seed, model_seed, factory, label_col, train_fraction)]
+                    _run_once(held, split_seed, model_seed, factory, label_col, train_fraction)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            results = list(pool.map(go, jobs))
+            results = list(pool.map(inheritable_thread_target(df.sparkSession)(go), jobs))
     finally:
         held.unpersist()
     return [r for rs in results for r in rs]
@@ -63,17 +71,20 @@ def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_c
 
 def repeated_holdout(spark: SparkSession, df: DataFrame, keys: Sequence[str], seeds: Sequence[int],
                      factory: Factory, model: str = "model", label_col: str = "label_indexed",
-                     train_fraction: float = 0.7, parallelism: int = 8) -> DataFrame:
-    """One run per seed; the seed drives both the split and the model."""
+                     train_fraction: float = 0.7, parallelism: int = 8, features_col: str = "features",
+                     fit_bytes: int = FIT_BYTES) -> DataFrame:
+    """One run per seed; the seed drives both the split and the model. ``elapsed_s`` is the
+    run's wall time (runs share the cluster)."""
     jobs = [(model, i + 1, s, s, factory) for i, s in enumerate(seeds)]
-    rows = _collect_runs(df, jobs, keys, label_col, train_fraction, parallelism)
+    rows = _collect_runs(df, jobs, keys, label_col, train_fraction, parallelism, features_col, fit_bytes)
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
 def repeated_model_seed(spark: SparkSession, df: DataFrame, keys: Sequence[str], split_seed: int,
                         seeds: Sequence[int], factories: dict[str, tuple[Factory, bool]],
                         label_col: str = "label_indexed", train_fraction: float = 0.7,
-                        parallelism: int = 8) -> DataFrame:
+                        parallelism: int = 8, features_col: str = "features",
+                        fit_bytes: int = FIT_BYTES) -> DataFrame:
     """Fixed split, one run per (model, seed). A model flagged unseeded
     ignores the seed, so it is fitted once and that fit's metrics are
     reported for every seed."""
@@ -84,7 +95,7 @@ def repeated_model_seed(spark: SparkSession, df: DataFrame, keys: Sequence[str],
         else:
             jobs.append((name, 0, split_seed, seeds[0], factory))
             unseeded.append(name)
-    rows = _collect_runs(df, jobs, keys, label_col, train_fraction, parallelism)
+    rows = _collect_runs(df, jobs, keys, label_col, train_fraction, parallelism, features_col, fit_bytes)
     out = [r for r in rows if r[0] not in unseeded]
     for r in rows:
         if r[0] in unseeded:

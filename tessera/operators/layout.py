@@ -9,9 +9,9 @@ frame, counts it, and coalesces (no shuffle) only when its partitions hold
 far fewer rows than the target.
 
 Each concurrent fit also keeps its own cached copy of its training rows
-(``pyspark.ml`` persists the instances it iterates over), so the number of
-fits in flight is bounded by a row budget: many at once on small inputs,
-one at a time when the training set alone is as large as the budget.
+(``pyspark.ml`` persists the instances it iterates over), so the number of fits in flight
+is bounded by a budget in bytes, an argument of everything that fits in parallel: the vector
+width times eight bytes times the training rows is what one fit holds.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 ROWS_PER_PARTITION = 250_000
-ROWS_IN_FLIGHT = 200_000_000
+FIT_BYTES = 64 << 30
 
 
 def cache_counted(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
@@ -47,6 +47,16 @@ def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
     return cache_counted(df, rows_per_partition, level)[0]
 
 
-def fit_concurrency(train_rows: int, requested: int, rows_in_flight: int = ROWS_IN_FLIGHT) -> int:
-    """Concurrent fits allowed for a training set of ``train_rows`` rows."""
-    return max(1, min(requested, rows_in_flight // max(1, train_rows)))
+def fit_concurrency(train_rows: int, width: int, requested: int, fit_bytes: int = FIT_BYTES) -> int:
+    """Concurrent fits allowed for a training set of ``train_rows`` vectors of ``width``
+    doubles when all fits together may hold ``fit_bytes``."""
+    return max(1, min(requested, fit_bytes // max(1, train_rows * (width + 2) * 8)))
+
+
+def vector_width(df: DataFrame, col: str) -> int:
+    """Width of a vector column, from its metadata or else its first row."""
+    meta = df.schema[col].metadata.get("ml_attr", {})
+    if "num_attrs" in meta:
+        return int(meta["num_attrs"])
+    row = df.select(col).first()
+    return len(row[0]) if row is not None else 0

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tessera.operators import evaluate
-from tessera.operators.layout import ROWS_IN_FLIGHT, cache_counted, fit_concurrency
+from tessera.operators.layout import FIT_BYTES, cache_counted, fit_concurrency, vector_width
 from tessera.operators.split import add_folds
 
 # The two regularisation grids of the tuned programs.
@@ -81,71 +81,79 @@ class GridSearchModel:
         return self.paramMaps
 
 
+def _chained(models: list, df: DataFrame) -> DataFrame:
+    """``df`` with the predictions p0, p1, ... of all models: one scan, one projection chain."""
+    for j, m in enumerate(models):
+        m = m.copy()
+        m.setPredictionCol(f"p{j}").setProbabilityCol("").setRawPredictionCol("")
+        df = m.transform(df)
+    return df
+
+
+def fold_scoring(models: list, valid: DataFrame, label_col: str) -> DataFrame:
+    """(grid, n, accuracy, f1) of every model on one validation fold, from one scan of it."""
+    preds = _chained(models, valid).select(F.col(label_col), F.inline(F.array(*[
+        F.struct(F.lit(j).alias("grid"), F.col(f"p{j}").alias("prediction")) for j in range(len(models))])))
+    return evaluate.metrics(preds, label_col, "prediction", by=["grid"])
+
+
 def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence[str], seed: int,
                    num_folds: int = 5, parallelism: int = 8, label_col: str = "label_indexed",
-                   metric: str = "f1") -> GridSearchModel:
+                   metric: str = "f1", fit_bytes: int = FIT_BYTES) -> GridSearchModel:
     """k-fold grid search with the same metrics as ``CrossValidator``.
 
-    Differences in execution only: the input is cached once (folds are
-    filters over it), the stages before the last one (scaler, selector --
-    their parameters are not in the grid) are fitted once per fold instead
-    of once per grid point, and the fits of all folds and grid points share
-    one pool instead of waiting for the slowest fit of each fold, and all
-    grid points of a fold are scored in one confusion aggregate instead of
-    one evaluator job each (same formulas as ``MulticlassClassificationEvaluator``,
-    see :mod:`tessera.operators.evaluate`). The pool size is ``parallelism``
-    bounded by the row budget of :func:`~tessera.operators.layout.fit_concurrency`.
-    The best grid point (first one on ties) is refitted on all rows, as
-    ``CrossValidator`` does.
+    The folds keep only the label, the fold number and one vector: the input's vector once, and per fold the
+    vector that the last stage reads. The stages before the last one (scaler, selector -- their parameters
+    are not in the grid) are fitted once per fold instead of once per grid point. All fits
+    share one pool, whose size is ``parallelism`` bounded by ``fit_bytes``
+    (see :func:`~tessera.operators.layout.fit_concurrency`). The models of all grid points are chained over a
+    validation fold, so it is scanned once. The best grid point (first one on ties) is
+    refitted on all rows, as ``CrossValidator`` does. A fold without rows, or without
+    training rows, is an error.
     """
     stages = pipeline.getStages()
     prefix, last = stages[:-1], stages[-1]
     if metric not in ("f1", "accuracy"):
         raise ValueError("grid_search_cv scores 'f1' (weighted) or 'accuracy'")
-    metric_col = metric
-    folded, n = cache_counted(add_folds(df, keys, seed, num_folds, "__fold"))
-    workers = fit_concurrency(n, parallelism)
-    # the prepared folds hold num_folds copies of the rows: cache them only
-    # when that fits the row budget, else keep them as lazy views over the
-    # one cached copy (each fit caches its own instances either way)
-    cache_folds = num_folds * n <= ROWS_IN_FLIGHT
+    source = prefix[0].getOrDefault("inputCol") if prefix else last.getFeaturesCol()
+    reads = last.getFeaturesCol()
+    folded, n = cache_counted(add_folds(df, keys, seed, num_folds, "__fold").select("__fold", label_col, source))
     held: list[DataFrame] = []
-
-    def prepare(i: int):
-        train = folded.where(F.col("__fold") != i)
-        valid = folded.where(F.col("__fold") == i)
-        if prefix:
-            pm = Pipeline(stages=prefix).fit(train)
-            train, valid = pm.transform(train), pm.transform(valid)
-        if cache_folds:
-            train, valid = train.persist(StorageLevel.MEMORY_AND_DISK), valid.persist(StorageLevel.MEMORY_AND_DISK)
-            held.extend([train, valid])
-        return train, valid
-
     try:
+        sizes = {r["__fold"]: r["count"] for r in folded.groupBy("__fold").count().collect()}
+        bare = [i for i in range(num_folds) if not sizes.get(i) or sizes[i] == n]
+        if bare:
+            raise ValueError(f"cross-validation needs rows in and outside every fold; of {n} rows, fold sizes are "
+                             f"{[sizes.get(i, 0) for i in range(num_folds)]}")
+        workers = fit_concurrency(n, vector_width(folded, source), parallelism, fit_bytes)
+
+        def prepare(i: int):
+            train, valid = folded.where(F.col("__fold") != i), folded.where(F.col("__fold") == i)
+            if prefix:
+                pm = Pipeline(stages=prefix).fit(train)
+                train, valid = pm.transform(train), pm.transform(valid)
+            pair = [x.select(label_col, reads).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, valid)]
+            held.extend(pair)
+            return pair
+
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            views = list(pool.map(prepare, range(num_folds)))
+            views = list(pool.map(inheritable_thread_target(df.sparkSession)(prepare), range(num_folds)))
             tasks = [(i, j) for i in range(num_folds) for j in range(len(grid))]
-            fitted = dict(zip(tasks, pool.map(lambda t: last.fit(views[t[0]][0], grid[t[1]]), tasks)))
-
-            def fold_scores(i: int) -> dict[int, float]:
-                # every grid point's predictions on fold i, scored in one
-                # confusion aggregate (same formulas as the evaluator)
-                preds = None
-                for j in range(len(grid)):
-                    p = fitted[(i, j)].transform(views[i][1]).select(
-                        F.lit(j).alias("__grid"), F.col(label_col), F.col("prediction"))
-                    preds = p if preds is None else preds.unionByName(p)
-                rows = evaluate.metrics(preds, label_col, "prediction", by=["__grid"]).collect()
-                return {r["__grid"]: r[metric_col] for r in rows}
-
-            per_fold = list(pool.map(fold_scores, range(num_folds)))
-        scores = [per_fold[i][j] for i in range(num_folds) for j in range(len(grid))]
+
+            def fit(task):
+                return last.fit(views[task[0]][0], grid[task[1]])
+
+            def score(i: int) -> dict[int, float]:
+                models = [fitted[i, j] for j in range(len(grid))]
+                return {r["grid"]: r[metric] for r in fold_scoring(models, views[i][1], label_col).collect()}
+
+            fitted = dict(zip(tasks, pool.map(inheritable_thread_target(df.sparkSession)(fit), tasks)))
+            per_fold = list(pool.map(inheritable_thread_target(df.sparkSession)(score), range(num_folds)))
     finally:
         for h in held:
             h.unpersist()
         folded.unpersist()
-    per_point = [[scores[i * len(grid) + j] for i in range(num_folds)] for j in range(len(grid))]
+    per_point = [[per_fold[i][j] for i in range(num_folds)] for j in range(len(grid))]
     avg = [sum(v) / num_folds for v in per_point]
     std = [math.sqrt(sum((x - a) ** 2 for x in v) / num_folds) for v, a in zip(per_point, avg)]
     best = max(range(len(grid)), key=lambda j: (avg[j], -j))
