@@ -11,18 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import explode_vector, vector_sum
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split, tune
-from tessera.operators.layout import cache_sized
+from tessera.operators.layout import cache_counted, cache_sized, fit_concurrency
 from tessera.plans import programs
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
-from tessera.sources.csv import feature_schema, read_typed_csv, write_csv
+from tessera.sources.csv import labelled_schema, land_as_parquet, numbered, read_typed_csv, write_csv
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 R = 6  # decimals for computed doubles
@@ -44,14 +46,14 @@ def csv_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
     f = fx.embedding_wide(spark, sf)
     path = shared_dir(spark, "csv_typed_scan")
     write_csv(f.df.select(*f.features, "label"), path, header=False)
-    return read_typed_csv(spark, path, feature_schema(len(f.features) + 1))
+    return read_typed_csv(spark, path, labelled_schema(numbered(len(f.features))))
 
 
 def csv_malformed_to_null(spark: SparkSession, sf: str) -> DataFrame:
     """Permissive typed scan: 'abc' and empty cells become NULL, rows kept."""
     path = shared_dir(spark, "csv_dirty")
     write_csv(fx.events_dirty_text(spark, sf), path, header=False)
-    return read_typed_csv(spark, path, feature_schema(3))
+    return read_typed_csv(spark, path, labelled_schema(numbered(2)))
 
 
 # ================================================================ profiles, filters (P, A)
@@ -110,9 +112,9 @@ def prepare_dataset(spark: SparkSession, sf: str) -> DataFrame:
     f = fx.embedding_wide(spark, sf)
     path = shared_dir(spark, "prepare_dataset")
     write_csv(f.df.select(*f.features, "label"), path, header=False)
-    n = len(f.features) + 1
-    raw = read_typed_csv(spark, path, feature_schema(n))
-    ds = encode.assemble(encode.index_label(raw), [x.name for x in feature_schema(n).fields[:-1]])
+    names = numbered(len(f.features))
+    raw = land_as_parquet(read_typed_csv(spark, path, labelled_schema(names)), shared_dir(spark, "prepared"))
+    ds = encode.assemble(encode.index_label(raw), names)
     return ds.groupBy("label", "label_indexed").agg(
         F.count(F.lit(1)).alias("n"), _r(F.sum(vector_sum("features"))).alias("feature_sum"))
 
@@ -152,6 +154,13 @@ def chi2_scores(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("feature_index", "feature", _r("statistic").alias("statistic"), "dof")
 
 
+def chi2_select_binned(spark: SparkSession, sf: str) -> DataFrame:
+    """The 8 best of 64 continuous columns, each cut into 16 equal-width bins."""
+    f = fx.embedding_wide(spark, sf)
+    chosen = encode.chi2_select_topk(encode.index_label(f.df), f.features, k=8, bins=16)
+    return spark.createDataFrame([(f.features.index(c), c) for c in chosen], "feature_index int, feature string")
+
+
 def chi2_select_topk(spark: SparkSession, sf: str) -> DataFrame:
     f = fx.bucketed_select(spark, sf)
     chosen = encode.chi2_select_topk(encode.index_label(f.df), f.features, k=2)
@@ -167,10 +176,18 @@ def holdout_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of Spark's Bernoulli split whatever the partitioning: no row on both sides, none lost."""
     f = fx.orders_flags(spark, sf)
     train, test = split.random_split(f.df, 42)
-    return (train.select(f.key, F.lit("train").alias("split"))
-            .unionByName(test.select(f.key, F.lit("test").alias("split"))))
+    sides = (train.select(f.key, F.lit(1).alias("train"), F.lit(0).alias("test"))
+             .unionByName(test.select(f.key, F.lit(0).alias("train"), F.lit(1).alias("test"))))
+    per_key = sides.groupBy(f.key).agg(F.sum("train").alias("train"), F.sum("test").alias("test"))
+    found = f.df.select(f.key).join(per_key, f.key, "left")
+    share = F.sum("train") / F.count(F.lit(1))
+    return found.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if((F.col("train") > 0) & (F.col("test") > 0)).alias("n_overlap"),
+        F.count_if(F.col("train").isNull()).alias("n_missing"),
+        ((share > 0.65) & (share < 0.75)).alias("share_near_0_7"))
 
 
 def kfold_assign(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,11 +203,11 @@ def nested_split(spark: SparkSession, sf: str) -> DataFrame:
 # ================================================================ models (M1-M9)
 
 def decision_tree_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Tree on a two-threshold rule label; its splits as rows."""
+    """Tree on a two-threshold rule label; all its nodes as rows (children of leaves are -1)."""
     f = fx.lineitem_rule(spark, sf)
     model = models.fit_tree(_prepared(f), seed=42)
-    return (models.tree_splits(spark, model, f.features)
-            .select("feature", _r("threshold").alias("threshold")).distinct())
+    return models.tree_nodes(spark, model, f.features).select(
+        "node", "depth", *[F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("left", "right")], "feature", _r("threshold").alias("threshold"), "prediction")
 
 
 def decision_tree_predict(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,23 +237,39 @@ def logistic_fit(spark: SparkSession, sf: str) -> DataFrame:
         "class_index", "term", _r("value", 3).alias("value"))
 
 
-def logistic_elastic_net(spark: SparkSession, sf: str) -> DataFrame:
-    """Coefficients over the regularisation grid (fits run concurrently)."""
-    f = fx.document_quality(spark, sf)
-    ds = cache_sized(_prepared(f))
-    grid = [(r, e) for r in tune.GRID_SMALL["reg_param"] for e in tune.GRID_SMALL["elastic_net"]]
+def _coefficients_over(spark: SparkSession, f: fx.Fixture, grid: list[tuple[float, float]],
+                       parallelism: int = 16) -> DataFrame:
+    """Coefficients of every (reg_param, elastic_net); the fits run concurrently within the byte budget."""
+    held, n = cache_counted(_prepared(f).select("label_indexed", "features"))
 
     def fit(p):
-        m = models.fit_logistic(ds, reg_param=p[0], elastic_net=p[1])
+        m = models.fit_logistic(held, reg_param=p[0], elastic_net=p[1])
         return [(p[0], p[1], *row) for row in models.logistic_coefficients(spark, m, f.features).collect()]
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        rows = [r for rs in pool.map(fit, grid) for r in rs]
-    ds.unpersist()
+    try:
+        with ThreadPoolExecutor(max_workers=fit_concurrency(n, len(f.features), parallelism)) as pool:
+            rows = [r for rs in pool.map(inheritable_thread_target(spark)(fit), grid) for r in rs]
+    finally:
+        held.unpersist()
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, class_index long, term string, "
                                        "value double")
 
 
+def logistic_elastic_net(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficients over the regularisation grid of the tuned program."""
+    return _coefficients_over(spark, fx.document_quality(spark, sf), [
+        (r, e) for r in tune.GRID_SMALL["reg_param"] for e in tune.GRID_SMALL["elastic_net"]])
+
+
+LASSO_REGS = (0.0001, 0.001, 0.01)
+
+
+def logistic_lasso(spark: SparkSession, sf: str) -> DataFrame:
+    """L1-regularised fits on one binary feature, whose optimum is closed-form."""
+    out = _coefficients_over(spark, fx.orders_binary(spark, sf), [(r, 1.0) for r in LASSO_REGS])
+    return out.withColumn("value", _r("value", 3))
+
+
 def _group_probability(pred: DataFrame, feature: str) -> DataFrame:
     p1 = vector_to_array("probability").getItem(1)
     return pred.groupBy(feature, "prediction", _r(p1, 4).alias("p1")).agg(F.count(F.lit(1)).alias("n"))
@@ -300,45 +333,69 @@ def eval_by_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # ================================================================ model selection (H1-H4)
 
-def _cv(spark: SparkSession, sf: str, train_only: bool = False):
-    f = fx.document_quality(spark, sf)
-    ds = cache_sized(split.add_split(_prepared(f), [f.key], 42))
-    pipe = models.scaled_logistic()
-    lr = pipe.getStages()[-1]
-    grid = tune.logistic_grid(lr, tune.GRID_SMALL["reg_param"], tune.GRID_SMALL["elastic_net"])
-    data = ds.where(F.col("split") == "train") if train_only else ds
-    cvm = tune.grid_search_cv(data, pipe, grid, [f.key], seed=42, num_folds=5, parallelism=32)
-    return ds, lr, cvm
+@contextmanager
+def _cv(spark: SparkSession, f: fx.Fixture, grid: dict, train_only: bool = False):
+    """(tagged rows, lr stage, search result) of the grid search on a fixture; the cached rows are released."""
+    ds = cache_sized(split.add_split(_prepared(f), [f.key], 42).select(f.key, "split", "label_indexed", "features"))
+    try:
+        pipe = models.scaled_logistic()
+        lr = pipe.getStages()[-1]
+        points = tune.logistic_grid(lr, grid["reg_param"], grid["elastic_net"])
+        data = ds.where(F.col("split") == "train") if train_only else ds
+        yield ds, lr, tune.grid_search_cv(data, pipe, points, [f.key], seed=42, num_folds=5, parallelism=32)
+    finally:
+        ds.unpersist()
 
 
 def cv_grid_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    ds, lr, cvm = _cv(spark, sf)
-    out = tune.grid_metrics(spark, cvm, lr)
-    ds.unpersist()
-    return out
+    with _cv(spark, fx.document_quality(spark, sf), tune.GRID_SMALL) as (_, lr, cvm):
+        return tune.grid_metrics(spark, cvm, lr)
 
 
 def cv_best_params(spark: SparkSession, sf: str) -> DataFrame:
-    ds, lr, cvm = _cv(spark, sf)
-    b = tune.best_params(cvm)
-    ds.unpersist()
+    with _cv(spark, fx.document_quality(spark, sf), tune.GRID_SMALL) as (_, lr, cvm):
+        b = tune.best_params(cvm)
     return spark.createDataFrame([(b.reg_param, b.elastic_net, b.metric)],
                                  "reg_param double, elastic_net double, mean_metric double")
 
 
 def tune_logistic(spark: SparkSession, sf: str) -> DataFrame:
     """Tune on the training split, refit the best pipeline there, report both splits."""
-    ds, lr, cvm = _cv(spark, sf, train_only=True)
-    b = tune.best_params(cvm)
-    final = models.scaled_logistic(reg_param=b.reg_param, elastic_net=b.elastic_net)
-    model = final.fit(ds.where(F.col("split") == "train"))
-    m = evaluate.metrics(model.transform(ds), by=["split"]).collect()
-    ds.unpersist()
+    with _cv(spark, fx.document_quality(spark, sf), tune.GRID_SMALL, train_only=True) as (ds, lr, cvm):
+        b = tune.best_params(cvm)
+        m = evaluate.metrics(cvm.bestModel.transform(ds), by=["split"]).collect()
     rows = [(r["split"], r["n"], r["accuracy"], r["f1"], b.reg_param, b.elastic_net) for r in m]
     return spark.createDataFrame(rows, "split string, n long, accuracy double, f1 double, reg_param double, "
                                        "elastic_net double")
 
 
+CV_EXACT = {"reg_param": [0.0001, 0.2], "elastic_net": [1.0]}
+
+
+def cv_grid_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Grid search over L1 fits on one binary feature: every fold's predictions are closed-form."""
+    with _cv(spark, fx.orders_binary(spark, sf), CV_EXACT) as (_, lr, cvm):
+        return tune.grid_metrics(spark, cvm, lr).select(
+            "grid_index", "reg_param", "elastic_net", _r("mean_metric").alias("mean_metric"), _r("sd_metric").alias("sd_metric"))
+
+
+def cv_best_exact(spark: SparkSession, sf: str) -> DataFrame:
+    with _cv(spark, fx.orders_binary(spark, sf), CV_EXACT) as (_, lr, cvm):
+        b = tune.best_params(cvm)
+    return spark.createDataFrame([(b.reg_param, b.elastic_net, round(b.metric, R))],
+                                 "reg_param double, elastic_net double, mean_metric double")
+
+
+def tune_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Tuning composite on a solvable table: search on the training split, best model, both splits."""
+    with _cv(spark, fx.orders_binary(spark, sf), CV_EXACT, train_only=True) as (ds, lr, cvm):
+        b = tune.best_params(cvm)
+        m = evaluate.metrics(cvm.bestModel.transform(ds), by=["split"]).collect()
+    rows = [(r["split"], r["n"], round(r["accuracy"], R), round(r["f1"], R), b.reg_param, b.elastic_net) for r in m]
+    return spark.createDataFrame(rows, "split string, n long, accuracy double, f1 double, reg_param double, "
+                                       "elastic_net double")
+
+
 # ================================================================ experiments (X1-X5, A3, S4-S6)
 
 def _rounded(long: DataFrame) -> DataFrame:
@@ -395,7 +452,43 @@ def results_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(RESULTS_CSV_SCHEMA).option("header", "true").csv(path)
 
 
-# ================================================================ end-to-end programs (rows only)
+# ================================================================ end-to-end programs
+
+def tree_program_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The tree program on a table whose cleaning and majority labels SQL can express."""
+    return _rounded(programs.tree_experiment(spark, sf, fixture="orders_dirty"))
+
+
+def tree_program_train_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with means and bounds from each seed's training rows only."""
+    return _rounded(programs.tree_experiment(spark, sf, seeds=experiment.SEEDS_A[:2], fixture="orders_dirty",
+                                             fit_on="train"))
+
+
+def baseline_program_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.baseline_comparison(spark, sf, fixture="orders_binary"))
+
+
+def tuned_program_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(programs.tuned_logistic_experiment(spark, sf, seeds=experiment.SEEDS_B[:4], grid=CV_EXACT,
+                                                       fixture="orders_two_flags"))
+
+
+def selected_program_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Selection of the one telling feature, grid search, and refits."""
+    return _rounded(programs.selected_logistic_experiment(
+        spark, sf, seeds=experiment.SEEDS_A[:4], grid={"reg_param": [0.0001, 0.001], "elastic_net": [0.0]}, select_k=1,
+        select_bins=None, fixture="orders_two_flags"))
+
+
+def selected_logistic_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Scaler -> chi-square top-1 -> LR on the training split: the kept feature's group rates."""
+    f = fx.orders_two_flags(spark, sf)
+    ds = split.add_split(_prepared(f), [f.key], 42)
+    model = models.scaled_logistic(select_k=1).fit(ds.where(F.col("split") == "train"))
+    kept = [f.features[i] for i in model.stages[1].selectedFeatures]
+    return _group_probability(model.transform(ds), "u").withColumn("kept", F.lit(",".join(kept)))
+
 
 def tree_experiment(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(programs.tree_experiment(spark, sf))
@@ -432,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scale_train_apply_test": scale_train_apply_test,
     "chi2_scores": chi2_scores,
     "chi2_select_topk": chi2_select_topk,
+    "chi2_select_binned": chi2_select_binned,
     "holdout_split": holdout_split,
     "random_split": random_split,
     "kfold_assign": kfold_assign,
@@ -441,6 +535,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decision_tree_holdout": decision_tree_holdout,
     "logistic_fit": logistic_fit,
     "logistic_elastic_net": logistic_elastic_net,
+    "logistic_lasso": logistic_lasso,
     "logistic_predict": logistic_predict,
     "logistic_holdout": logistic_holdout,
     "scaled_logistic_fit": scaled_logistic_fit,
@@ -452,12 +547,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cv_grid_metrics": cv_grid_metrics,
     "cv_best_params": cv_best_params,
     "tune_logistic": tune_logistic,
+    "tune_exact": tune_exact,
+    "cv_grid_exact": cv_grid_exact,
+    "cv_best_exact": cv_best_exact,
     "repeated_holdout": repeated_holdout,
     "repeated_model_seed": repeated_model_seed,
     "model_comparison": model_comparison,
     "results_table": results_table,
     "run_summary": run_summary,
     "results_csv_sink": results_csv_sink,
+    "selected_logistic_exact": selected_logistic_exact,
+    "tree_program_exact": tree_program_exact,
+    "tree_program_train_fit": tree_program_train_fit,
+    "baseline_program_exact": baseline_program_exact,
+    "tuned_program_exact": tuned_program_exact,
+    "selected_program_exact": selected_program_exact,
     "tree_experiment": tree_experiment,
     "tuned_logistic_experiment": tuned_logistic_experiment,
     "selected_logistic_experiment": selected_logistic_experiment,

@@ -18,6 +18,13 @@ ORDERS_FLAGS = ("SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE
                 "o_orderstatus AS label FROM orders")
 ORDERS_BINARY = ("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS u, "
                  "CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'notF' END AS label FROM orders")
+ORDERS_DIRTY = ("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 101 = 0 THEN 1000.0::DOUBLE "
+                "ELSE CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) END AS f1, o_orderstatus AS label FROM orders")
+_URGENT = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+ORDERS_TWO_FLAGS = (
+    f"SELECT o_orderkey, CASE WHEN {_URGENT} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS u, "
+    "CAST((o_orderkey // 10) % 2 AS DOUBLE) AS w, CASE WHEN (o_orderkey * 7 + (o_orderkey // 10) * 3) % 10 < "
+    f"CASE WHEN {_URGENT} THEN 8 ELSE 3 END THEN 'F' ELSE 'notF' END AS label FROM orders")
 LINEITEM_RULE = ("SELECT l_discount, l_tax, CASE WHEN l_discount > 0.05 AND l_tax > 0.03 THEN 'yes' ELSE 'no' END "
                  "AS label FROM lineitem")
 LINEITEM_ENCODE = "SELECT l_quantity, l_discount, l_tax, l_returnflag AS label FROM lineitem"
@@ -51,7 +58,9 @@ def hash_unit(seed: int | str, key: str, salt: str | None = None) -> str:
     literal or a column name."""
     seed_sql = f"'{seed}'" if isinstance(seed, int) else f"CAST({seed} AS VARCHAR)"
     salt_sql = f" || ':{salt}'" if salt is not None else ""
-    return (f"CAST(CAST(('0x' || substr(md5({seed_sql}{salt_sql} || ':' || CAST({key} AS VARCHAR)), 1, 8)) "
+    text = f"CAST({key} AS VARCHAR)"
+    part = f"coalesce(':' || length({text}) || ':' || {text}, ':-')"
+    return (f"CAST(CAST(('0x' || substr(md5({seed_sql}{salt_sql} || {part}), 1, 8)) "
             f"AS UBIGINT) AS DOUBLE) / 4294967296.0")
 
 
@@ -228,12 +237,39 @@ def _chi2_topk(k: int = 2) -> str:
             f"ORDER BY statistic DESC, feature_index LIMIT {k}")
 
 
+def _chi2_binned(k: int = 8, bins: int = 16, width: int = 64) -> str:
+    """Chi-square over equal-width bins, ranked by the Wilson-Hilferty score of the statistic."""
+    parts = []
+    for i in range(width):
+        c = f"feature_{i + 1}"
+        src = (f"SELECT label, CASE WHEN hi > lo THEN least(floor(({c} - lo) / ((hi - lo) / {bins})), {bins} - 1) "
+               f"ELSE 0 END AS b FROM ({EMB}), (SELECT min({c}) AS lo, max({c}) AS hi FROM ({EMB}))")
+        parts.append(f"SELECT {i} AS feature_index, '{c}' AS feature, statistic, dof FROM {chi2_stat(src, 'b')}")
+    score = "(power(statistic / dof, 1.0 / 3.0) - (1 - 2.0 / (9.0 * dof))) / sqrt(2.0 / (9.0 * dof))"
+    return (f"SELECT feature_index, feature FROM ({' UNION ALL '.join(parts)}) "
+            f"ORDER BY {score} DESC, feature_index LIMIT {k}")
+
+
 def _tree_fit_rule() -> str:
     def mid(c, cut):
         return (f"round(((SELECT max({c}) FROM lineitem WHERE {c} <= {cut}) + "
                 f"(SELECT min({c}) FROM lineitem WHERE {c} > {cut})) / 2, 6)")
-    return (f"SELECT 'l_discount' AS feature, {mid('l_discount', 0.05)} AS threshold "
-            f"UNION ALL SELECT 'l_tax' AS feature, {mid('l_tax', 0.03)} AS threshold")
+    # the first split is on the column with more rows on its pure side; the rest of the rows hold one more split
+    first = ("(SELECT count(*) FILTER (l_discount <= 0.05) >= count(*) FILTER (l_tax <= 0.03) FROM lineitem)")
+    rest = (f"(SELECT CASE WHEN 2 * count(*) FILTER (l_discount > 0.05 AND l_tax > 0.03) > "
+            f"CASE WHEN {first} THEN count(*) FILTER (l_discount > 0.05) ELSE count(*) FILTER (l_tax > 0.03) END "
+            f"THEN 1.0 ELSE 0.0 END FROM lineitem)")
+    a, b = "l_discount", "l_tax"
+    ta, tb = mid(a, 0.05), mid(b, 0.03)
+    return f"""SELECT CAST(node AS BIGINT) AS node, CAST(depth AS BIGINT) AS depth, CAST(coalesce(l, -1) AS BIGINT) AS "left",
+       CAST(coalesce(r, -1) AS BIGINT) AS "right", feature, CAST(threshold AS DOUBLE) AS threshold, CAST(prediction AS DOUBLE) AS prediction
+FROM (SELECT 0 AS node, 0 AS depth, 1 AS l, 2 AS r, CASE WHEN {first} THEN '{a}' ELSE '{b}' END AS feature,
+             CASE WHEN {first} THEN {ta} ELSE {tb} END AS threshold, 0.0 AS prediction
+      UNION ALL SELECT 1, 1, NULL, NULL, NULL, NULL, 0.0
+      UNION ALL SELECT 2, 1, 3, 4, CASE WHEN {first} THEN '{b}' ELSE '{a}' END,
+             CASE WHEN {first} THEN {tb} ELSE {ta} END, {rest}
+      UNION ALL SELECT 3, 2, NULL, NULL, NULL, NULL, 0.0
+      UNION ALL SELECT 4, 2, NULL, NULL, NULL, NULL, 1.0)"""
 
 
 def _tree_predict_rule() -> str:
@@ -256,6 +292,44 @@ def _logistic_fit() -> str:
             f"round(ln({p1} / (1 - {p1})) - ln({p0} / (1 - {p0})), 3) AS value")
 
 
+def _lasso(regs: Sequence[float]) -> str:
+    """L1 optimum on one binary feature: the fitted group rates are the observed ones moved towards each
+    other by reg * sd * n / n_group, and the coefficient is 0 once they meet."""
+    one = "CASE WHEN label = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    stats = (f"SELECT avg({one}) FILTER (u = 0) AS p0, avg({one}) FILTER (u = 1) AS p1, avg({one}) AS p, "
+             f"count(*)::DOUBLE AS n, (count(*) FILTER (u = 0))::DOUBLE AS n0, (count(*) FILTER (u = 1))::DOUBLE AS n1, "
+             f"stddev_samp(u) AS sd FROM ({ORDERS_BINARY})")
+    grid = ", ".join(f"({r}::DOUBLE)" for r in regs)
+    logit = lambda p: f"ln({p} / (1 - {p}))"
+    return f"""WITH s AS ({stats}),
+g AS (SELECT reg, s.*, sign(p1 - p0) AS sg FROM s, (VALUES {grid}) t(reg)),
+m AS (SELECT reg, p, p1 - sg * reg * sd * n / n1 AS f1, p0 + sg * reg * sd * n / n0 AS f0, sg FROM g),
+z AS (SELECT reg, CASE WHEN sg * (f1 - f0) > 0 THEN f1 ELSE p END AS q1, CASE WHEN sg * (f1 - f0) > 0 THEN f0 ELSE p END AS q0
+      FROM m)
+SELECT reg AS reg_param, 1.0::DOUBLE AS elastic_net, CAST(1 AS BIGINT) AS class_index, 'intercept' AS term,
+       round({logit("q0")}, 3) AS value FROM z
+UNION ALL SELECT reg, 1.0::DOUBLE, CAST(1 AS BIGINT), 'u', round({logit("q1")} - {logit("q0")}, 3) + 0.0 FROM z"""
+
+
+def _cv_exact(grid: dict, folds: int = 5) -> str:
+    """Grid search on one binary feature: each fold predicts the majority label of each group of its training rows
+    (shrinking the two rates towards each other moves neither over 1/2)."""
+    points = [(r, e) for r in grid["reg_param"] for e in grid["elastic_net"]]
+    rows = ", ".join(f"({i}, {r}::DOUBLE, {e}::DOUBLE)" for i, (r, e) in enumerate(points))
+    return f"""WITH d AS ({ORDERS_BINARY}), idx AS ({label_index(ORDERS_BINARY)}),
+x AS (SELECT d.u AS g, idx.li, CAST(floor({hash_unit(42, 'd.o_orderkey', 'fold')} * {folds}.0) AS INTEGER) AS fold
+      FROM d JOIN idx ON d.label = idx.label),
+cnt AS (SELECT f.i, g, li, count(*) AS c FROM x, (SELECT unnest(range({folds})) AS i) f WHERE x.fold <> f.i GROUP BY ALL),
+maj AS (SELECT i, g, li AS pred FROM (SELECT *, row_number() OVER (PARTITION BY i, g ORDER BY c DESC, li) AS r FROM cnt)
+        WHERE r = 1),
+cm AS (SELECT x.fold AS i, x.li AS label, maj.pred, count(*) AS n FROM x JOIN maj ON maj.i = x.fold AND maj.g = x.g GROUP BY ALL),
+e AS (SELECT *, CAST(sum(n) OVER (PARTITION BY i) AS DOUBLE) AS total, CAST(sum(n) OVER (PARTITION BY i, label) AS DOUBLE) AS nt,
+             CAST(sum(n) OVER (PARTITION BY i, pred) AS DOUBLE) AS np FROM cm),
+s AS (SELECT i, sum(CASE WHEN label = pred THEN 2.0::DOUBLE * n * nt / ((nt + np) * total) ELSE 0.0 END) AS f1 FROM e GROUP BY i)
+SELECT CAST(grid_index AS BIGINT) AS grid_index, reg_param, elastic_net, round(m, 6) AS mean_metric, round(sd, 6) AS sd_metric
+FROM (SELECT avg(f1) AS m, stddev_pop(f1) AS sd FROM s), (VALUES {rows}) t(grid_index, reg_param, elastic_net)"""
+
+
 def _group_probability(train_only: bool) -> str:
     where = f"WHERE {split_case(42, 'o_orderkey')} = 'train'" if train_only else ""
     r = _group_rates(where)
@@ -289,6 +363,54 @@ def _model_comparison() -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def _cleaned_dirty() -> str:
+    ctes, last = seq_filter_chain(impute_select(ORDERS_DIRTY, ["f1"], ["o_orderkey"], ["label"]), ["f1"])
+    return f"WITH {ctes} SELECT * FROM {last}"
+
+
+def _cleaned_dirty_train(seed: int) -> str:
+    """Cleaning with the mean and the bounds of the seed's training rows."""
+    train = f"{split_case(seed, 'o_orderkey')} = 'train'"
+    return (f"WITH r AS ({ORDERS_DIRTY}), m AS (SELECT avg(f1) AS m FROM r WHERE {train}), "
+            f"i AS (SELECT o_orderkey, coalesce(f1, m) AS f1, label FROM r, m), "
+            f"b AS (SELECT avg(f1) AS a, stddev_samp(f1) AS s FROM i WHERE {train}) "
+            f"SELECT i.* FROM i, b WHERE f1 >= a - 3 * s AND f1 <= a + 3 * s")
+
+
+def _tree_train_fit(seeds: Sequence[int]) -> str:
+    parts = []
+    for i, seed in enumerate(seeds):
+        m = majority_metrics(_cleaned_dirty_train(seed), "o_orderkey", "f1", [seed], model="decision_tree")
+        # the label index comes from all rows, before cleaning
+        m = m.replace(f"idx AS ({label_index(_cleaned_dirty_train(seed))})", f"idx AS ({label_index(ORDERS_DIRTY)})")
+        parts.append(f"SELECT model, CAST({i + 1} AS BIGINT) AS run, seed, split, n, accuracy, f1 FROM ({m})")
+    return " UNION ALL ".join(parts)
+
+
+def _tree_exact() -> str:
+    m = majority_metrics(_cleaned_dirty(), "o_orderkey", "f1", SEEDS_A, model="decision_tree")
+    return m.replace(f"idx AS ({label_index(_cleaned_dirty())})", f"idx AS ({label_index(ORDERS_DIRTY)})")
+
+
+def _two_flag_runs(seeds: Sequence[int]) -> str:
+    return majority_metrics(ORDERS_TWO_FLAGS, "o_orderkey", "u", seeds, model="logistic_regression")
+
+
+def _selected_exact() -> str:
+    where = f"WHERE {split_case(42, 'o_orderkey')} = 'train'"
+    idx = label_index(ORDERS_TWO_FLAGS)
+    return (f"WITH d AS ({ORDERS_TWO_FLAGS}), idx AS ({idx}), "
+            f"r AS (SELECT u, avg(CASE WHEN idx.li = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS p "
+            f"FROM d JOIN idx ON d.label = idx.label {where} GROUP BY u) "
+            f"SELECT d.u, CASE WHEN r.p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(r.p, 4) AS p1, "
+            f"count(*) AS n, 'u' AS kept FROM d JOIN r ON d.u = r.u GROUP BY ALL")
+
+
+def _tune_exact() -> str:
+    m = majority_metrics(ORDERS_BINARY, "o_orderkey", "u", [42])
+    return (f"SELECT split, n, accuracy, f1, 0.0001::DOUBLE AS reg_param, 1.0::DOUBLE AS elastic_net FROM ({m})")
+
+
 def oracle_sql() -> dict[str, str]:
     hold = "o_orderkey"
     return {
@@ -314,6 +436,20 @@ def oracle_sql() -> dict[str, str]:
         "scale_train_apply_test": _scale_train_apply_test(),
         "chi2_scores": _chi2_all(),
         "chi2_select_topk": _chi2_topk(2),
+        "chi2_select_binned": _chi2_binned(),
+        "random_split": ("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_overlap, CAST(0 AS BIGINT) AS n_missing, "
+                         "TRUE AS share_near_0_7 FROM orders"),
+        "tree_program_exact": _tree_exact(),
+        "tree_program_train_fit": _tree_train_fit(SEEDS_A[:2]),
+        "baseline_program_exact": _model_comparison(),
+        "tuned_program_exact": _two_flag_runs(SEEDS_B[:4]),
+        "selected_program_exact": _two_flag_runs(SEEDS_A[:4]),
+        "selected_logistic_exact": _selected_exact(),
+        "tune_exact": _tune_exact(),
+        "logistic_lasso": _lasso((0.0001, 0.001, 0.01)),
+        "cv_grid_exact": _cv_exact({"reg_param": [0.0001, 0.2], "elastic_net": [1.0]}),
+        "cv_best_exact": ("SELECT reg_param, elastic_net, mean_metric FROM ("
+                          + _cv_exact({"reg_param": [0.0001, 0.2], "elastic_net": [1.0]}) + ") WHERE grid_index = 0"),
         "holdout_split": f"SELECT {hold}, {split_case(42, hold)} AS split FROM orders",
         "kfold_assign": f"SELECT {hold}, CAST(floor({hash_unit(42, hold, 'fold')} * 5.0) AS INTEGER) AS fold FROM orders",
         "nested_split": (f"SELECT {hold}, CASE WHEN {hash_unit(42, hold)} >= 0.7 THEN 'test' "

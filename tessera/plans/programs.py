@@ -15,33 +15,40 @@
   seed, so it is fitted once) side by side.
 
 Each returns the long result table ``(model, run, seed, split, n, accuracy,
-f1)``; :func:`tessera.operators.experiment.results_table` and
+f1, elapsed_s)``; :func:`tessera.operators.experiment.results_table` and
 :func:`~tessera.operators.experiment.run_summary` turn it into the per-run
 table and the min/max/mean/SD summary.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import split_label
 from tessera.operators import clean, encode, experiment, models, split, tune
 from tessera.operators.layout import cache_sized
 from tessera.sources import fixtures as fx
-from tessera.sources.csv import feature_names, feature_schema, read_typed_csv
+from tessera.session import shared_dir
+from tessera.sources.csv import labelled_schema, land_as_parquet, numbered, read_typed_csv
+
+TUNING_SEED = 42
 
 
-def csv_source(spark: SparkSession, path: str, columns_no: int) -> fx.Fixture:
-    """The programs' input format: headerless CSV of ``columns_no - 1``
-    double features and a string label, scanned with the generated schema."""
-    schema = feature_schema(columns_no)
-    return fx.Fixture(read_typed_csv(spark, path, schema), feature_names(columns_no))
+def csv_source(spark: SparkSession, path: str, columns: int) -> fx.Fixture:
+    """The programs' input format, a headerless CSV of ``columns`` fields of which the last is the
+    label. The text is parsed once: it is landed as Parquet on the shared storage, where every
+    row also gets a number, the key of its splits and folds (equal rows are split one by one)."""
+    names = numbered(columns - 1)
+    raw = read_typed_csv(spark, path, labelled_schema(names))
+    return fx.Fixture(land_as_parquet(raw, shared_dir(spark, "landed"), row_id="row_id"), list(names), key="row_id")
 
 
 def _keys(fix: fx.Fixture) -> list[str]:
-    """Split/fold key: the key column, or for keyless input the row content
-    (every feature and the label) -- partition-independent, and exact
-    duplicate rows always fall on the same side of a split."""
+    """Split/fold key: the key column, or for keyless tables the row content
+    (every feature and the label), by which equal rows fall on the same side."""
     return [fix.key] if fix.key else [*fix.features, fix.label]
 
 
@@ -49,16 +56,30 @@ def _source(spark: SparkSession, sf_dir: str | None, fixture: str, source: fx.Fi
     return source if source is not None else fx.FIXTURES[fixture](spark, sf_dir)
 
 
-def _prepared(fix: fx.Fixture, cleaned: bool, materialise: str = "cache") -> DataFrame:
+def _prepared(fix: fx.Fixture, cleaned: bool, fit_where=None) -> DataFrame:
     df = encode.index_label(fix.df)
     if cleaned:
-        df = clean.clean(df, fix.features, materialise=materialise)
+        df = clean.clean(df, fix.features, fit_where=fit_where)
     return encode.assemble(df, fix.features)
 
 
+def _train_rows(fix: fx.Fixture, seed: int):
+    """Condition that holds for the training rows of a seed's split."""
+    return split_label(seed, _keys(fix)) == "train"
+
+
 def tree_experiment(spark: SparkSession, sf_dir: str | None, seeds=experiment.SEEDS_A, parallelism: int = 8,
-                    fixture: str = "embedding_wide", source: fx.Fixture | None = None) -> DataFrame:
+                    fixture: str = "embedding_wide", source: fx.Fixture | None = None,
+                    fit_on: str = "all") -> DataFrame:
+    """``fit_on='all'`` takes means and bounds from all rows, ``'train'`` per seed from its training rows
+    only, so no test row informs them (the label index is a mere renaming and stays global)."""
     fix = _source(spark, sf_dir, fixture, source)
+    if fit_on == "train":
+        runs = [experiment.repeated_holdout(
+            spark, _prepared(fix, True, _train_rows(fix, s)), _keys(fix), [s],
+            lambda s: models.tree_classifier(seed=s), model="decision_tree", parallelism=parallelism).withColumn(
+                "run", F.lit(i + 1).cast("long")) for i, s in enumerate(seeds)]
+        return functools.reduce(DataFrame.unionByName, runs)
     ds = _prepared(fix, cleaned=True)
     return experiment.repeated_holdout(spark, ds, _keys(fix), seeds, lambda s: models.tree_classifier(seed=s),
                                        model="decision_tree", parallelism=parallelism)
@@ -67,21 +88,24 @@ def tree_experiment(spark: SparkSession, sf_dir: str | None, seeds=experiment.SE
 def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B,
                               grid: dict = tune.GRID_LARGE, select_k: int | None = None, num_folds: int = 5,
                               parallelism: int = 8, cv_parallelism: int = 32,
-                              fixture: str = "document_quality", source: fx.Fixture | None = None) -> DataFrame:
+                              fixture: str = "document_quality", source: fx.Fixture | None = None,
+                              select_bins: int | None = None, fit_on: str = "all") -> DataFrame:
+    """With ``fit_on='train'`` means and bounds come from the training rows of the tuning split."""
     fix = _source(spark, sf_dir, fixture, source)
     keys = _keys(fix)
-    ds = cache_sized(_prepared(fix, cleaned=True))
+    where = _train_rows(fix, TUNING_SEED) if fit_on == "train" else None
+    ds = cache_sized(_prepared(fix, True, where).select(*keys, "label_indexed", "features"))
     try:
-        tuning = split.add_split(ds, keys, 42).where(F.col("split") == "train").drop("split")
-        pipe = models.scaled_logistic(select_k=select_k)
+        tuning = split.add_split(ds, keys, TUNING_SEED).where(F.col("split") == "train").drop("split")
+        pipe = models.scaled_logistic(select_k=select_k, select_bins=select_bins)
         lr = pipe.getStages()[-1]
         cvm = tune.grid_search_cv(tuning, pipe, tune.logistic_grid(lr, grid["reg_param"], grid["elastic_net"]),
-                                  keys, seed=42, num_folds=num_folds, parallelism=cv_parallelism)
+                                  keys, seed=TUNING_SEED, num_folds=num_folds, parallelism=cv_parallelism)
         best = tune.best_params(cvm)
         return experiment.repeated_holdout(
             spark, ds, keys, seeds,
             lambda s: models.scaled_logistic(reg_param=best.reg_param, elastic_net=best.elastic_net,
-                                             select_k=select_k),
+                                             select_k=select_k, select_bins=select_bins),
             model="logistic_regression", parallelism=parallelism)
     finally:
         ds.unpersist()
@@ -89,9 +113,10 @@ def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment
 
 def selected_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_A,
                                  grid: dict = tune.GRID_SMALL, select_k: int = 20,
-                                 fixture: str = "embedding_wide", **kw) -> DataFrame:
+                                 fixture: str = "embedding_wide", select_bins: int | None = 32, **kw) -> DataFrame:
+    """The features are continuous, so they are binned for the chi-square test."""
     return tuned_logistic_experiment(spark, sf_dir, seeds=seeds, grid=grid, select_k=select_k, fixture=fixture,
-                                     **kw)
+                                     select_bins=select_bins, **kw)
 
 
 def baseline_comparison(spark: SparkSession, sf_dir: str | None, seeds=experiment.SEEDS_B, parallelism: int = 8,

@@ -9,7 +9,7 @@ are injected by key so every row is kept.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,6 @@ class Fixture:
     features: list[str]
     label: str = "label"
     key: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def orders_flags(spark: SparkSession, sf_dir: str) -> Fixture:
@@ -139,6 +138,34 @@ def document_quality(spark: SparkSession, sf_dir: str) -> Fixture:
     return Fixture(df, ["n_chars", "n_words", "n_lines"], key="doc_id")
 
 
+def orders_dirty(spark: SparkSession, sf_dir: str) -> Fixture:
+    """orders_flags with f1 NULL on every 13th and 1000 on every 101st key: both cleaning steps
+    have work, and every remaining value of f1 decides by its majority label."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    digit = F.substring("o_orderpriority", 1, 1).cast("double")
+    df = o.select(
+        "o_orderkey",
+        F.when(key % 13 == 0, F.lit(None).cast("double")).when(key % 101 == 0, 1000.0).otherwise(digit).alias("f1"),
+        F.col("o_orderstatus").alias("label"),
+    )
+    return Fixture(df, ["f1"], key="o_orderkey")
+
+
+def orders_two_flags(spark: SparkSession, sf_dir: str) -> Fixture:
+    """Two binary features: u raises the rate of label 'F' from 3 to 8 in 10, w says nothing about it."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    df = o.select(
+        "o_orderkey",
+        F.when(urgent, 1.0).otherwise(0.0).alias("u"),
+        (F.floor(key / 10) % 2).cast("double").alias("w"),
+        F.when((key * 7 + F.floor(key / 10) * 3) % 10 < F.when(urgent, 8).otherwise(3), "F").otherwise("notF").alias("label"),
+    )
+    return Fixture(df, ["u", "w"], key="o_orderkey")
+
+
 def events_dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as text rows for the CSV scan: 'abc' on every 13th key, empty on every 17th."""
     ev = table(spark, sf_dir, "events")
@@ -152,6 +179,8 @@ def events_dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIXTURES = {
     "orders_flags": orders_flags,
     "orders_binary": orders_binary,
+    "orders_dirty": orders_dirty,
+    "orders_two_flags": orders_two_flags,
     "lineitem_rule": lineitem_rule,
     "lineitem_encode": lineitem_encode,
     "events_nulls": events_nulls,

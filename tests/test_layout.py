@@ -15,7 +15,13 @@ def test_small_input_coalesced_large_kept(spark):
     mid.unpersist()
 
 
-def test_fit_concurrency_bounded_by_rows():
-    assert layout.fit_concurrency(1_000, 32) == 32
-    assert layout.fit_concurrency(50_000_000, 32, rows_in_flight=200_000_000) == 4
-    assert layout.fit_concurrency(10**12, 32) == 1
+def test_fit_concurrency_bounded_by_bytes():
+    assert layout.fit_concurrency(1_000, 40, 32) == 32
+    assert layout.fit_concurrency(1_000_000, 98, 32, fit_bytes=4 * 800_000_000) == 4
+    assert layout.fit_concurrency(10**12, 1, 32) == 1
+
+
+def test_vector_width(spark):
+    from tessera.operators import encode
+    df = encode.assemble(spark.range(3).selectExpr("id", "cast(id as double) x", "1.0D y"), ["x", "y"])
+    assert layout.vector_width(df, "features") == 2

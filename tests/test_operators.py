@@ -10,32 +10,33 @@ from conftest import SF_CHECK, SF_SMALL
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
-from tessera.sources.csv import feature_schema, read_typed_csv, write_csv
+from tessera.sources.csv import labelled_schema, numbered, read_typed_csv, write_csv
 
 
 # ---------------------------------------------------------------- scans
 
-def test_feature_schema_shape():
-    s = feature_schema(42)
+def test_labelled_schema_shape():
+    s = labelled_schema(numbered(41))
     assert len(s.fields) == 42
     assert s.fields[0].name == "feature_1" and s.fields[40].name == "feature_41"
     assert s.fields[-1].name == "label" and s.fields[-1].dataType.simpleString() == "string"
     assert all(f.nullable for f in s.fields)
+    assert labelled_schema(["a", "b"], "y").names == ["a", "b", "y"]
     with pytest.raises(ValueError):
-        feature_schema(1)
+        labelled_schema([])
 
 
 def test_permissive_scan_short_and_long_lines(spark, tmp_path):
     p = tmp_path / "x.csv"
     p.write_text("1.5,abc,yes\n2.5\n3.5,4.5,no,extra\n")
-    rows = read_typed_csv(spark, str(p), feature_schema(3)).orderBy("feature_1").collect()
+    rows = read_typed_csv(spark, str(p), labelled_schema(numbered(2))).orderBy("feature_1").collect()
     assert [tuple(r) for r in rows] == [(1.5, None, "yes"), (2.5, None, None), (3.5, 4.5, "no")]
 
 
 def test_corrupt_record_column_keeps_raw_text(spark, tmp_path):
     p = tmp_path / "y.csv"
     p.write_text("1.0,2.0,a\nbad,2.0,b\n")
-    df = read_typed_csv(spark, str(p), feature_schema(3), corrupt_col="_corrupt").cache()
+    df = read_typed_csv(spark, str(p), labelled_schema(numbered(2)), corrupt_col="_corrupt").cache()
     bad = df.where(F.col("_corrupt").isNotNull()).collect()
     assert len(bad) == 1 and bad[0]["_corrupt"] == "bad,2.0,b"
 
@@ -43,7 +44,7 @@ def test_corrupt_record_column_keeps_raw_text(spark, tmp_path):
 def test_dirty_csv_null_count(spark):
     path = shared_dir(spark, "t_dirty")
     write_csv(fx.events_dirty_text(spark, SF_CHECK), path, header=False)
-    df = read_typed_csv(spark, path, feature_schema(3))
+    df = read_typed_csv(spark, path, labelled_schema(numbered(2)))
     assert df.count() == 10000
     assert df.where(F.col("feature_2").isNull()).count() == 1313
 
@@ -68,6 +69,22 @@ def test_impute_leaves_all_null_column(spark):
     assert nulls["value"] == 0 and nulls["empty"] == out.count()
 
 
+def test_null_counts_agree_with_the_profile(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "b"), (2.0, "c")], "x double, s string")
+    counts = {r["feature"]: r["n_null"] for r in profile.null_counts(df, ["x", "s"]).collect()}
+    assert counts == {"x": 2, "s": 1}
+    assert profile.profile(df, ["x"]).first()["n_null"] == 2
+
+
+def test_sequential_filter_leaves_no_scratch(spark):
+    import os
+    base = shared_dir(spark)
+    f = fx.events_correlated(spark, SF_SMALL)
+    before = set(os.listdir(base.removeprefix("file:")))
+    assert clean.outlier_filter_sequential(f.df, f.features).count() > 0
+    assert set(os.listdir(base.removeprefix("file:"))) == before
+
+
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
     assert clean.fit_means(df, ["x"])["x"] == 2.0
@@ -87,7 +104,7 @@ def test_sequential_filter_refresh_does_not_change_result(spark):
     cols = f.features[:20]
     a = clean.sequential_bounds(f.df, cols, refresh_every=0)
     b = clean.sequential_bounds(f.df, cols, refresh_every=3)
-    c = clean.sequential_bounds(f.df, cols, materialise="parquet", refresh_every=5)
+    c = clean.sequential_bounds(f.df, cols, materialise="cache", refresh_every=5)
     for x, y, z in zip(a, b, c):
         assert x["applied"] == y["applied"] == z["applied"]
         if x["applied"]:
@@ -119,14 +136,29 @@ def test_chi2_select_refuses_k_missing():
         encode.chi2_selector(None)
 
 
-def test_chi2_binned_for_continuous(spark):
-    # a continuous column with more distinct values than the test allows is binned first
+def test_chi2_binning_is_explicit(spark):
     df = spark.range(12000).select((F.col("id") * 1.000001).alias("x"), (F.col("id") % 7).alias("y"),
                                    (F.col("id") % 2).cast("double").alias("label_indexed"))
-    # Spark's own test refuses x (12,000 distinct values); the selector bins it first
-    assert encode.chi2_select_topk(df, ["x", "y"], 1, num_buckets=16) in (["x"], ["y"])
-    model = encode.chi2_selector(1, "f", "s", num_buckets=16).fit(encode.assemble(df, ["x", "y"], "f"))
-    assert model.binnedFeatures == [0]
+    # without bins every distinct value is a category, and Spark's test refuses 12,000 of them
+    with pytest.raises(Exception, match="distinct values"):
+        encode.chi2_select_topk(df, ["x", "y"], 1)
+    assert encode.chi2_select_topk(df, ["x", "y"], 1, bins=16) in (["x"], ["y"])
+
+
+@pytest.mark.parametrize("n", [2_000, 200_000])
+def test_chi2_keeps_the_stronger_column_at_every_size(spark, n):
+    """Columns that agree with the label in 60 % and 95 % of rows; with many rows both p-values are 0."""
+    y = (F.col("id") % 2).cast("double")
+    agree = lambda share, salt: F.when(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(100)) < share, y).otherwise(1 - y)
+    df = spark.range(n).select(agree(60, 1).alias("weak"), agree(95, 2).alias("strong"), y.alias("label_indexed"))
+    for bins in (None, 8):
+        assert encode.chi2_select_topk(df, ["weak", "strong"], 1, bins=bins) == ["strong"]
+
+
+def test_chi2_rank_ignores_rounding():
+    from tessera.operators.select import rank_slots
+    assert rank_slots([(0, 1e-5 + 1e-17, 4, 30.0), (1, 1e-5, 4, 30.000000000001), (2, 0.0, 1, 900.0), (3, 0.0, 1, 5000.0)]) == [
+        3, 2, 0, 1]
 
 
 # ---------------------------------------------------------------- splits
@@ -135,7 +167,7 @@ def test_holdout_split_counts_and_stability(spark):
     f = fx.orders_flags(spark, SF_CHECK)
     a = split.add_split(f.df, [f.key], 42)
     counts = {r["split"]: r["count"] for r in a.groupBy("split").count().collect()}
-    assert counts == {"train": 10501, "test": 4499}
+    assert sum(counts.values()) == 15000 and abs(counts["train"] / 15000 - 0.7) < 0.015
     b = split.add_split(f.df.repartition(7), [f.key], 42)
     assert a.select(f.key, "split").exceptAll(b.select(f.key, "split")).count() == 0
 
@@ -154,6 +186,29 @@ def test_folds_partition_rows(spark):
     assert len(sizes) == 5 and sum(sizes) == 15000 and min(sizes) > 2700
 
 
+def _train_share(df, keys, seed=42):
+    return split.add_split(df, keys, seed).agg(F.avg((F.col("split") == "train").cast("double"))).first()[0]
+
+
+def test_null_and_compound_keys_are_told_apart(spark):
+    from tessera.functions.hashing import key_text
+    df = spark.createDataFrame([(1, None, 2), (1, 2, None), (None, 1, 2), (12, None, None), (1, 2, 3)], "a int, b int, c int")
+    assert df.select(key_text(["a", "b", "c"]).alias("k")).distinct().count() == 5
+    text = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), ("a", ":b:c"), ("a:", "b:c")], "x string, y string")
+    assert text.select(key_text(["x", "y"]).alias("k")).distinct().count() == 4
+
+
+def test_landed_rows_split_one_by_one(spark, tmp_path):
+    """One line repeated for half of the file, and empty lines of all NULLs: each row is drawn on its own."""
+    from tessera.plans import programs
+    (tmp_path / "x.csv").write_text("".join(["1.5,2.5,yes\n"] * 2000 + [f"{i},{i / 7},no\n" for i in range(1000)]
+                                            + [",,\n"] * 1000))
+    src = programs.csv_source(spark, str(tmp_path / "x.csv"), 3)
+    assert src.key == "row_id" and src.df.select("row_id").distinct().count() == 4000
+    for part in (src.df, src.df.where("feature_1 = 1.5"), src.df.where("feature_1 IS NULL")):
+        assert abs(_train_share(part, [src.key]) - 0.7) < 0.05
+
+
 # ---------------------------------------------------------------- models and metrics
 
 def test_metrics_equal_spark_evaluator(spark):
@@ -194,11 +249,16 @@ def test_elastic_net_shrinks(spark):
     assert big < small
 
 
-def test_tree_splits_table(spark):
+def test_tree_nodes_table(spark):
     f = fx.lineitem_rule(spark, SF_SMALL)
     m = models.fit_tree(encode.assemble(encode.index_label(f.df), f.features), seed=3)
-    rows = models.tree_splits(spark, m, f.features).collect()
-    assert rows and all(r["feature"] in f.features for r in rows)
+    rows = {r["node"]: r for r in models.tree_nodes(spark, m, f.features).collect()}
+    assert len(rows) == m.numNodes and rows[0]["depth"] == 0 and max(r["depth"] for r in rows.values()) == m.depth
+    for r in rows.values():
+        inner = r["left"] is not None
+        assert (r["feature"] in f.features) == inner and (r["right"] is not None) == inner
+        if inner:
+            assert rows[r["left"]]["depth"] == rows[r["right"]]["depth"] == r["depth"] + 1
 
 
 # ---------------------------------------------------------------- experiments
@@ -223,15 +283,14 @@ def test_results_csv_round_trip(spark):
 
 def test_chi2_topk_equals_spark_selector_within_limit(spark):
     from pyspark.ml.feature import UnivariateFeatureSelector
-    f = fx.embedding_wide(spark, SF_CHECK)
+    f = fx.bucketed_select(spark, SF_CHECK)
     ds = encode.assemble(encode.index_label(f.df), f.features)
     ref = UnivariateFeatureSelector(featuresCol="features", outputCol="s", labelCol="label_indexed",
                                     selectionMode="numTopFeatures")
-    ref.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(20.0)
-    mine = encode.chi2_selector(20, "features", "s2").fit(ds)
-    assert mine.selectedFeatures == sorted(ref.fit(ds).selectedFeatures) and mine.binnedFeatures == []
-    out = mine.transform(ds).select("s2").first()[0]
-    assert len(out) == 20
+    ref.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(2.0)
+    mine = encode.chi2_selector(2, "features", "s2").fit(ds)
+    assert mine.selectedFeatures == sorted(ref.fit(ds).selectedFeatures)
+    assert len(mine.transform(ds).select("s2").first()[0]) == 2
 
 
 def test_cleaning_fitted_on_train_rows_only(spark):

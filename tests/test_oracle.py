@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from conftest import SF_CHECK
+from tessera.plans.catalog import QUERIES
+from tessera.plans.oracle import oracle_sql
 
-# the grid-search queries (80 pipeline fits each) have no SQL oracle and are
-# exercised with a reduced grid in test_tuning.py
+# the wide grid-search queries (80 pipeline fits each) have no SQL oracle; their exact siblings
+# run the same code on tables whose fits are closed-form
 EXACT = sorted(oracle_sql())
 
 
@@ -18,7 +19,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 @pytest.mark.parametrize("name", EXACT)
 def test_matches_duckdb(spark, duck, name):
     import oracle_check
-    df = queries()[name](spark, SF_CHECK)
+    df = QUERIES[name](spark, SF_CHECK)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in FORBIDDEN if n in plan], plan
     sdf = df.toPandas()
@@ -28,8 +29,8 @@ def test_matches_duckdb(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only <= {"random_split", "logistic_elastic_net", "selected_logistic_fit", "cv_grid_metrics",
+    rows_only = set(QUERIES) - set(oracle_sql())
+    assert rows_only <= {"logistic_elastic_net", "selected_logistic_fit", "cv_grid_metrics",
                          "cv_best_params", "tune_logistic", "tree_experiment", "tuned_logistic_experiment",
                          "selected_logistic_experiment",
                          "baseline_comparison"}

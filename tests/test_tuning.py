@@ -1,5 +1,6 @@
 """Grid search and the end-to-end programs on small inputs (reduced grids)."""
 
+import pytest
 from conftest import SF_CHECK, SF_SMALL
 from pyspark.sql import functions as F
 
@@ -57,10 +58,49 @@ def test_programs_run_on_headerless_csv(spark):
     f = fx.embedding_wide(spark, SF_SMALL, width=12)
     path = shared_dir(spark, "t_csv_program")
     write_csv(f.df.select(*f.features, "label"), path, header=False)
-    src = programs.csv_source(spark, path, columns_no=13)
+    src = programs.csv_source(spark, path, 13)
     long = programs.tree_experiment(spark, None, seeds=[42, 7], source=src)
     rows = long.collect()
     assert len(rows) == 4 and sum(r["n"] for r in rows if r["seed"] == 42) == sum(
         r["n"] for r in rows if r["seed"] == 7)
     base = programs.baseline_comparison(spark, None, seeds=[1, 2], source=src)
     assert base.count() == 8
+
+
+def test_grid_search_equals_cross_validator(spark):
+    """Same folds, same grid: the same metrics to rounding and the same best point."""
+    f = fx.document_quality(spark, SF_CHECK)
+    ds = encode.assemble(encode.index_label(f.df), f.features).cache()
+    pipe = models.scaled_logistic(maxIter=30)
+    lr = pipe.getStages()[-1]
+    grid = tune.logistic_grid(lr, [0.001, 0.3], [0.0, 0.5])
+    ref = tune.cross_validate(ds, pipe, grid, [f.key], seed=42, num_folds=3, parallelism=4)
+    got = tune.grid_search_cv(ds, pipe, grid, [f.key], seed=42, num_folds=3)
+    assert all(abs(a - b) < 1e-12 for a, b in zip(ref.avgMetrics, got.avgMetrics))
+    assert tune.best_params(ref).reg_param == tune.best_params(got).reg_param
+    assert tune.best_params(ref).elastic_net == tune.best_params(got).elastic_net
+
+
+def test_fold_scoring_scans_the_fold_once(spark):
+    f = fx.orders_binary(spark, SF_SMALL)
+    ds = encode.assemble(encode.index_label(f.df), f.features)
+    fitted = [models.fit_logistic(ds, reg_param=r) for r in (0.0, 0.1, 1.0, 10.0)]
+    scored = tune.fold_scoring(fitted, ds, "label_indexed")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert scored.count() == 4
+
+
+def test_empty_fold_is_a_clear_error(spark):
+    df = spark.createDataFrame([(i, float(i), float(i % 2)) for i in range(4)], "k long, x double, label_indexed double")
+    pipe = models.scaled_logistic()
+    grid = tune.logistic_grid(pipe.getStages()[-1], [0.1], [0.0])
+    with pytest.raises(ValueError, match="every fold"):
+        tune.grid_search_cv(encode.assemble(df, ["x"]), pipe, grid, ["k"], seed=1, num_folds=5)
+
+
+def test_tree_experiment_fitted_on_train_rows(spark):
+    all_rows = programs.tree_experiment(spark, SF_SMALL, seeds=[42, 7], fit_on="all").collect()
+    train = programs.tree_experiment(spark, SF_SMALL, seeds=[42, 7], fit_on="train").collect()
+    assert {(r["run"], r["seed"], r["split"]) for r in train} == {(r["run"], r["seed"], r["split"]) for r in all_rows}
+    assert all(r["elapsed_s"] > 0 for r in train)
