@@ -77,7 +77,7 @@ def judge(captures: DataFrame, intervals: DataFrame, id_col: str = "page_id", ur
     latest listed, then the first category; category 'allow' lets the capture pass.
     """
     cap = captures.select(F.col(id_col).alias("cid"), F.col(url_col).alias("curl"),
-                          F.col(time_col).alias("fetched"))
+                          F.col(time_col).alias("fetched")).distinct()
     keyed = cap.withColumn("list_key", F.explode_outer(capture_keys(F.col("curl"))))
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("cid", "curl"), F.lit(salts)).cast("int"))
     spread = intervals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
