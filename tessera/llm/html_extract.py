@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 200
-LAYOUTS = 400
+LAYOUTS = 1200
 SEED = 11
 THRESHOLD = 0.5
 
@@ -56,12 +56,17 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
 CLOSES |= {t: {"p"} for t in "div section article main aside nav header footer ul ol dl table form blockquote pre figure "
                              "h1 h2 h3 h4 h5 h6 address fieldset hr".split()}
 LIMITS = frozenset("table ul ol dl div section article main aside nav header footer body form blockquote".split())
-# stems of class, id and role words that layouts use
-STEMS = ("ad", "ads", "advert", "sponsor", "promo", "banner", "nav", "menu", "breadcrumb", "sidebar", "aside", "widget",
-         "related", "recommend", "share", "social", "cookie", "consent", "notice", "alert", "popup", "modal", "newsletter",
-         "subscribe", "signup", "login", "search", "form", "comment", "reply", "respons", "footer", "header", "masthead",
-         "copyright", "pagination", "pager", "tag", "meta", "complementary", "contentinfo", "article", "content", "main",
-         "post", "entry", "story", "body", "text")
+# stems of class, id and role words of page furniture, and of content
+FURNITURE_STEMS = (
+    "ad", "ads", "advert", "sponsor", "promo", "banner", "partner", "commercial", "outbrain", "taboola", "teaser", "nav", "navigation",
+    "menu", "breadcrumb", "sidebar", "aside", "widget", "rail", "toolbar", "topbar", "related", "recommend", "trending", "popular",
+    "share", "sharing", "social", "follow", "cookie", "consent", "gdpr", "privacy", "notice", "notification", "alert", "warning",
+    "disclaimer", "legal", "popup", "modal", "overlay", "dialog", "newsletter", "subscribe", "subscription", "signup", "register",
+    "login", "donate", "search", "form", "feedback", "rating", "poll", "comment", "reply", "replies", "respons", "disqus", "discussion",
+    "thread", "review", "footer", "header", "masthead", "copyright", "pagination", "pager", "tag", "tags", "meta", "sitemap", "links",
+    "skip", "complementary", "contentinfo")
+CONTENT_STEMS = ("article", "content", "main", "post", "entry", "story", "body", "text", "prose")
+STEMS = FURNITURE_STEMS + CONTENT_STEMS
 
 
 class Node:
@@ -151,11 +156,11 @@ _STEM = {s: s for s in STEMS}
 
 
 def stems(words: str) -> set[str]:
-    """Known stems among the words of class, id and role."""
+    """Known stems among the words of class, id and role; "ad" and "tag" only as whole words."""
     out = set()
     for w in WORDS.findall(words):
         for n in range(len(w), 1, -1):
-            if w[:n] in _STEM and (n > 3 or len(w) - n <= 1):
+            if w[:n] in _STEM and (n > 3 or n == len(w) or w[:n] == "nav"):
                 out.add(w[:n])
                 break
     return out
@@ -239,7 +244,7 @@ def _predict(rest: float, p0: float, p1: float) -> float:
     return math.log(q / (1.0 - q))
 
 
-def train(pages: list[list[Node]], smooth: float = 0.5, weight: float = 0.6) -> Model:
+def train(pages: list[list[Node]], smooth: float = 0.5, weight: float = 0.6, least: float = 0.5) -> Model:
     """Count potentials on labelled trees. ``weight`` tempers the unary log-odds, whose features overlap."""
     feature: dict[str, list[float]] = defaultdict(lambda: [smooth, smooth])
     pair: dict[str, list[list[float]]] = defaultdict(lambda: [[smooth, smooth], [smooth, smooth]])
@@ -257,13 +262,15 @@ def train(pages: list[list[Node]], smooth: float = 0.5, weight: float = 0.6) ->
                 pair[kind][up][y] += 1
     base = math.log(total[1] / total[0])
     unary = {f: weight * (math.log(c[1] / c[0]) - base) for f, c in feature.items()}
+    # what says little is left out: over hundreds of alike paragraphs it would add up to a verdict
+    unary = {f: x for f, x in unary.items() if abs(x) >= least}
     odds = {k: (math.log(c[0][1] / c[0][0]), math.log(c[1][1] / c[1][0])) for k, c in pair.items()}
     return Model(unary, odds, (-2.0, 2.0))
 
 
 # -- labelled pages ----------------------------------------------------------
 
-# page furniture; L links, S a short phrase, P a sentence, Q a paragraph
+# page furniture; L links, S a short phrase, P a sentence, Q a paragraph, W many words without a stop
 FURNITURE = (
     '<nav><ul>L</ul></nav>', '<div class="menu"><ul>L</ul></div>', '<div id="navbar">L</div>', '<div role="navigation">L</div>',
     '<header><h1>S</h1><p>P</p></header>', '<div class="site-header"><h2>S</h2>P</div>', '<div class="masthead">S</div>',
@@ -284,11 +291,15 @@ FURNITURE = (
     '<div class="comment-list"><article class="comment"><p>Q</p></article><article class="comment"><p>P</p></article></div>',
     '<div class="replies"><div class="reply"><p>Q</p></div></div>', '<div role="complementary"><p>Q</p></div>',
     '<div role="contentinfo"><p>P</p></div>', '<ul>L</ul>')
+# furniture of any kind may carry any of the stems
+FURNITURE += tuple(f'<{e} {a}="{s}">{i}</{e}>' for k, s in enumerate(FURNITURE_STEMS)
+                   for e, a, i in ((("div", "class", "<p>P</p>"), ("section", "id", "<h3>S</h3><p>Q</p>"), ("p", "class", "P"),
+                                    ("ul", "class", "L"), ("div", "id", "P"))[k % 5], ("div", "class", "<p>Q</p><p>P</p>")))
 HOLDERS = ('<article>B</article>', '<main>B</main>', '<main><article>B</article></main>', '<div class="content">B</div>',
            '<div id="main-content">B</div>', '<div class="post"><div class="entry-content">B</div></div>',
-           '<section class="story">B</section>', '<div class="article-body">B</div>', '<div id="main"><div class="text">B</div></div>',
+           '<section class="story">B</section>', '<div class="prose">B</div>', '<div class="article-body">B</div>', '<div id="main"><div class="text">B</div></div>',
            '<div>B</div>', '<div role="main">B</div>', '<article class="post"><header><h1>S</h1></header>B</article>')
-BLOCKS = ('<p>Q</p>', '<p>Q</p>', '<p>Q</p>', '<p>P</p>', '<p>Q<br>P', '<h2>S</h2>', '<h3>S</h3>', '<ul><li>P</li><li>P</li></ul>',
+BLOCKS = ('<p>Q</p>', '<p>W</p>', '<p>W</p>', '<div>W</div>', '<p>Q</p>', '<p>Q</p>', '<p>P</p>', '<p>Q<br>P', '<h2>S</h2>', '<h3>S</h3>', '<ul><li>P</li><li>P</li></ul>',
           '<ol><li>S</li><li>P</li></ol>', '<blockquote><p>Q</p></blockquote>', '<pre>P</pre>', '<p><b>S</b> Q</p>', '<p>S</p>',
           '<p>S <a href="#">S</a> P</p>', '<table><tr><th>S</th><td>P</td></tr></table>', '<dl><dt>S</dt><dd>P</dd></dl>',
           '<div>Q</div>', '<figure><figcaption>P</figcaption></figure>', '<section><h2>S</h2><p>Q</p></section>')
@@ -302,8 +313,9 @@ def layout(rng: random.Random) -> str:
     def fill(t: str) -> str:
         put = {"L": lambda: "".join(f'<li><a href="/x">{words(1, 3)}</a></li>' for _ in range(rng.randint(3, 8))),
                "S": lambda: words(1, 5), "P": lambda: words(6, 14).capitalize() + ".",
+               "W": lambda: words(10, 90),
                "Q": lambda: ". ".join(words(6, 20).capitalize() for _ in range(rng.randint(2, 6))) + "."}
-        return re.sub(r"(?<![A-Za-z])[LSPQ](?![A-Za-z])", lambda m: put[m[0]](), t)
+        return re.sub(r"(?<![A-Za-z])[LSPQW](?![A-Za-z])", lambda m: put[m[0]](), t)
 
     def labelled(t: str, y: int) -> str:
         return re.sub(r"^<(\w+)", rf'<\1 data-y="{y}"', t)
