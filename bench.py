@@ -16,8 +16,28 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tessera.operators import encode, models  # noqa: E402
 from tessera.plans import catalog, programs  # noqa: E402
-from tessera.session import build_session  # noqa: E402
+from tessera.session import build_session, shared_dir  # noqa: E402
+from tessera.sources import fixtures  # noqa: E402
+from tessera.sources.csv import write_csv  # noqa: E402
+
+
+
+def lineitem_logistic(spark, sf_dir):
+    """Multinomial LR (10 iterations) on three columns of lineitem."""
+    f = fixtures.lineitem_encode(spark, sf_dir)
+    ds = encode.assemble(encode.index_label(f.df), f.features)
+    return models.logistic_coefficients(spark, models.fit_logistic(ds, maxIter=10), f.features)
+
+
+def csv_program_lineitem(spark, sf_dir):
+    """lineitem written as headerless text, parsed once, landed, cleaned, two seeded trees."""
+    f = fixtures.lineitem_encode(spark, sf_dir)
+    path = shared_dir(spark, "bench_csv")
+    write_csv(f.df.select(*f.features, f.label), path, header=False)
+    return programs.tree_experiment(spark, None, seeds=[42, 123], source=programs.csv_source(spark, path, 4))
+
 
 HEADLINE = {
     # the three programs end to end
@@ -33,6 +53,10 @@ HEADLINE = {
     "csv_typed_scan": catalog.csv_typed_scan,
     "scale_unit_std": catalog.scale_unit_std,
     "chi2_scores": catalog.chi2_scores,
+    "chi2_select_binned": catalog.chi2_select_binned,
+    "decision_tree_fit": catalog.decision_tree_fit,
+    "lineitem_logistic": lineitem_logistic,
+    "csv_program_lineitem": csv_program_lineitem,
     "label_frequency_index": catalog.label_frequency_index,
     "decision_tree_holdout": catalog.decision_tree_holdout,
     "logistic_holdout": catalog.logistic_holdout,

@@ -261,6 +261,21 @@ def test_tree_nodes_table(spark):
             assert rows[r["left"]]["depth"] == rows[r["right"]]["depth"] == r["depth"] + 1
 
 
+def test_model_seed_changes_trees_but_not_logistic_fits(spark):
+    """Over 10,000 rows and 32 values the tree's candidate thresholds are sampled by its seed."""
+    from tessera.sources.tables import table
+    li = table(spark, SF_CHECK, "lineitem").select(
+        F.col("l_extendedprice").cast("double").alias("x"), F.col("l_quantity").cast("double").alias("q"),
+        F.when(F.col("l_extendedprice") * (1 + F.col("l_tax")) > 40000, "y").otherwise("n").alias("label"))
+    ds = encode.assemble(encode.index_label(li), ["x", "q"]).select("features", "label_indexed").cache()
+    nodes = [[(r["feature_index"], r["threshold"]) for r in models.tree_nodes(spark, models.fit_tree(ds, seed=s)).collect()]
+             for s in (1, 2, 1)]
+    assert nodes[0] != nodes[1] and nodes[0] == nodes[2]
+    a, b = (models.logistic(maxIter=5).fit(ds) for _ in range(2))
+    assert a.coefficients == b.coefficients
+    ds.unpersist()
+
+
 # ---------------------------------------------------------------- experiments
 
 def test_results_csv_round_trip(spark):
