@@ -20,32 +20,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, mixing, ngram_join, secrets, toxicity
-from tessera.llm.components import written
+from tessera.llm.components import release, written
 from tessera.llm.registry import find_package, read
 
 ORACLE_SQL = None
 
 
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def begin(spark: SparkSession) -> None:
+    """What the stage before has left in shuffle files and plans is dropped."""
     find_package(spark)
+    release(spark)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    begin(spark)
     machine = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, machine)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    find_package(spark)
+    begin(spark)
     return ngram_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    begin(spark)
     return decontam.keep_uncontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    begin(spark)
     return secrets.redact(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    begin(spark)
     return mixing.mix(docs)
 
 

@@ -27,6 +27,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -492,15 +493,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
                    .groupBy(id_col).agg(F.max(label_col).alias("toxic")))
     draw = F.md5(F.concat(F.lit(f"{SEED}|"), F.col(id_col).cast("string")))
+    # at most max_texts ids of a class, so the broadcast and the training task are bounded
+    of = [known.where(F.col("toxic") == y).orderBy(draw).limit(max_texts) for y in (0, 1)]
+    ids = of[0].unionByName(of[1]).select(F.col(id_col).alias("_known"), F.col("toxic").cast("int").alias("toxic"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text") <= max_chars)
-    rows = []
-    for y in (0, 1):
-        # at most max_texts ids of a class, so the broadcast is bounded
-        ids = known.where(F.col("toxic") == y).orderBy(draw).limit(max_texts).select(id_col)
-        got = texts.join(F.broadcast(ids), F.col("_id") == F.col(id_col)).select(id_col, "_text").limit(2 * max_texts)
-        rows += [(r[0], r[1], y) for r in got.collect()]
-    rows.sort(key=lambda r: (r[2], str(r[0]), r[1]))
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    sample = texts.join(F.broadcast(ids), F.col("_id") == F.col("_known")).select("_id", "_text", "toxic").limit(4 * max_texts)
+
+    def fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(b.column(2).to_pylist(), map(str, b.column(0).to_pylist()),
+                                                b.column(1).to_pylist())]
+        rows.sort()
+        machine = train([r[2] for r in rows], [r[0] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], ["machine"])
+
+    # fitted in one task on the bounded sample; the driver receives the weights only
+    got = sample.repartition(1).mapInArrow(fit_sample, "machine binary").collect()
+    return pickle.loads(got[0][0]) if got else None
 
 
 def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text_col: str = "text",
