@@ -7,6 +7,7 @@ exist for tests, the bench harness and the command-line entry points.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by the cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, base)

@@ -32,9 +32,10 @@ class _Session:
         self.conf, self.sparkContext = _Conf(conf_value), _Ctx(master)
 
 
-def test_cluster_without_checkpoint_dir_refuses():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,1024]", "spark://host:7077"])
+def test_cluster_without_checkpoint_dir_refuses(master):
     with pytest.raises(RuntimeError):
-        shared_dir(_Session("yarn"))
+        shared_dir(_Session(master))
 
 
 def test_cluster_setting_is_used():
