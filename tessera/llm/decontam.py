@@ -184,14 +184,16 @@ class BenchmarkIndex:
         """The rows of the corpus, as the struct ``doc``, with n_words, n_hit, items array<string> and the
         exact occurrences as spans array<struct<item,start,end>>."""
         items, window, id_col, text_col = self.items, self.items.window, self.id_col, self.text_col
-        docs = self.docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+        docs = self.docs.select(F.struct("*").alias("doc"))
         out = T.StructType([docs.schema["doc"], *T._parse_datatype_string(
             "n_words long, n_hit long, items array<string>, "
             "spans array<struct<item:string,start:int,end:int>>").fields])
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for rows, data, offs in tc.pieces(batch, "text"):
+                doc = batch.column(0)
+                texts = pa.RecordBatch.from_arrays([doc, doc.field(text_col), batch.column(1)], ["doc", "text", "found"])
+                for rows, data, offs in tc.pieces(texts, "text"):
                     words, bounds = _hash_words(data, offs)
                     found = rows.column("found").to_pylist()
                     n_words = np.diff(bounds)
@@ -220,8 +222,8 @@ class BenchmarkIndex:
             joined = docs.withColumn("found", F.lit(None).cast(found_kind))
         else:
             cand = self.alignments().groupBy("doc_id").agg(F.collect_set(F.struct("item", "shift")).alias("found"))
-            joined = docs.join(cand, F.col("_id").eqNullSafe(F.col("doc_id")), "left")
-        joined = joined.select("doc", "text", "found")
+            joined = docs.join(cand, F.col("doc")[id_col].eqNullSafe(F.col("doc_id")), "left")
+        joined = joined.select("doc", "found")
         return joined.mapInArrow(verify, out)
 
 
