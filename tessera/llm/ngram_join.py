@@ -175,7 +175,9 @@ def candidate_edges(classes: DataFrame, runs: int, depth: int, leaf: int, agree:
     leaves, chains = None, None
     for level in range(depth):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("s1").alias("head"))
-        known = written(rows.join(sizes.where("members > 1"), "node"), "level")
+        # written first: both sides of the join are then plain exchanges, which Spark splits where a node is large
+        sizes = written(sizes.where("members > 1"), "nodes")
+        known = written(rows.join(sizes, "node"), "level")
         small = known.where(F.col("members") <= leaf).select("node", "s1")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = known.where(F.col("members") > leaf)
