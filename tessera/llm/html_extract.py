@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html
 import math
+import pickle
 import random
 import re
 from collections import defaultdict
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 200
+MAX_SAMPLE_CHARS = 200_000
 LAYOUTS = 1200
 SEED = 11
 THRESHOLD = 0.5
@@ -350,15 +352,30 @@ def marked(nodes: list[Node]) -> bool:
     return found
 
 
-def fit(pages: DataFrame | None = None, html_col: str = "html", sample: int = SAMPLE_PAGES) -> Model:
-    """Model from the layouts above and at most ``sample`` marked pages of the table."""
+def fit(pages: DataFrame | None = None, html_col: str = "html", id_col: str = "page_id",
+        sample: int = SAMPLE_PAGES) -> Model:
+    """Model from the layouts above and at most ``sample`` marked pages of the table (those whose
+    ids have the smallest digests, of up to MAX_SAMPLE_CHARS). Ids are drawn first, so no page travels
+    to the driver; the fit runs in one task, which returns the model's numbers."""
+    if pages is None or not sample:
+        return fit_trees([])
+    drawn = F.broadcast(pages.select(F.col(id_col).alias("_drawn")).where(F.col("_drawn").isNotNull()).distinct()
+                             .orderBy(F.md5(F.col("_drawn").cast("string")), "_drawn").limit(sample))
+    chosen = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_page")).where(
+        F.length("_page") < MAX_SAMPLE_CHARS).join(drawn, F.col("_id") == F.col("_drawn")).select("_page").limit(2 * sample)
+
+    def fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = sorted(t for b in batches for t in b.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_trees(texts))], pa.binary())], ["model"])
+
+    got = chosen.repartition(1).mapInArrow(fit_sample, "model binary").collect()
+    return pickle.loads(got[0][0]) if got else fit_trees([])
+
+
+def fit_trees(texts: list[str]) -> Model:
     rng = random.Random(SEED)
     trees = [parse(layout(rng)) for _ in range(LAYOUTS)]
-    if pages is not None and sample:
-        drawn = pages.select(html_col).where(F.length(html_col) < 200_000).orderBy(F.md5(html_col)).limit(sample)
-        own = [parse(r[0]) for r in drawn.collect()]
-        trees += [t for t in own if marked(t)]
-    return train(trees)
+    return train(trees + [t for t in map(parse, texts) if marked(t)])
 
 
 def main_text(page: str | None, model: Model, threshold: float = THRESHOLD) -> str:
