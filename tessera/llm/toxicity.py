@@ -12,7 +12,9 @@ and a word is scored exactly by looking its subsequences up, without touching th
 
 Labels belong to texts, while a few words of a text carry its toxicity. So the machine is trained on
 labelled texts as bags of words: all words of clean texts are negative, and each toxic text gives
-its highest-scoring word as a positive, beside words that only toxic texts have; the hardest are drawn anew in ``ROUNDS`` rounds.
+its highest-scoring word as a positive, beside telling words; the hardest are drawn anew in ``ROUNDS`` rounds. A word is telling by its
+ratio of toxic to clean texts, and only while there are toxic texts with fewer than ``TOP`` telling words: so a family of words with one
+beginning counts though clean texts hold a few of it, and chance words of a text that occurs many times do not.
 A logistic curve, fitted on set-aside labelled texts, turns the ``TOP`` highest word decisions of a
 text and its length into a score from 0 to 1.
 
@@ -50,7 +52,9 @@ SEED = 5
 CHUNK, OVERLAP = 24, SPAN
 FLOOR = 0.05  # normalised decisions under this are not told apart
 TOP = 3  # highest word decisions of a text that its score is made of
-SIGNAL = 6.0  # likelihood ratio of a telling word
+SIGNAL = 6.0  # likelihood ratio of a run of symbols that alone makes a word telling
+RATIO = 3.0  # logarithm of the ratio of toxic to clean texts from which a word is telling
+SUPPORT = 3  # toxic texts that a telling word is in
 _BEGIN, _END = 30, 31
 _U = np.uint64
 
@@ -356,6 +360,25 @@ class Bags:
         np.maximum.at(out, owner, ratio[run])
         return out
 
+    def telling(self, signal: np.ndarray) -> np.ndarray:
+        """Words that tell toxic texts, the strongest first taken: each is in at least SUPPORT toxic texts that
+        have fewer than TOP stronger ones. Words of no clean text and a strong run of symbols are always among them."""
+        on = self.toxic[self.text] == 1
+        t, c = (np.bincount(self.word[x], minlength=len(self.starts)) for x in (on, ~on))
+        nt = self.toxic.sum()
+        ratio = np.log((t + 0.5) / (nt + 1)) - np.log((c + 0.5) / (len(self.toxic) - nt + 1))
+        always = (signal >= SIGNAL) & (t >= SUPPORT) & (c == 0)
+        likely = np.flatnonzero((t >= SUPPORT) & (ratio >= RATIO))
+        order = np.argsort(self.word[on], kind="stable")
+        word, text = self.word[on][order], self.text[on][order]
+        covered = np.zeros(len(self.toxic), np.int64)
+        for w in likely[np.argsort(-(t * ratio)[likely], kind="stable")]:
+            held = text[np.searchsorted(word, w, "left"):np.searchsorted(word, w, "right")]
+            if (covered[held] < TOP).sum() >= SUPPORT:
+                always[w] = True
+                covered[held] += 1
+        return np.flatnonzero(always)
+
     def best(self, score: np.ndarray, of: int) -> np.ndarray:
         """Highest-scoring word of every text of class ``of``."""
         order = np.lexsort((self.word, score[self.word], self.text))
@@ -380,12 +403,13 @@ def train(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS, rounds
         return None
     in_clean = np.zeros(len(bags.starts), bool)
     in_clean[bags.word[bags.toxic[bags.text] == 0]] = True
-    clean = np.flatnonzero(in_clean)
-    drawn = rng.permutation(clean)[:6000]
     score = bags.first_signal()
-    # words in several toxic texts and no clean one are positive from the start
+    # telling words are positive from the start, also those that some clean texts have
     in_toxic = np.bincount(bags.word[bags.toxic[bags.text] == 1], minlength=len(bags.starts))
-    telling = np.flatnonzero((score >= SIGNAL) & (in_toxic >= 3) & ~in_clean)
+    telling = bags.telling(score)
+    in_clean[telling] = False
+    clean = np.flatnonzero(in_clean)
+    drawn = rng.permutation(clean)[:6000]
     hard = np.zeros(0, int)
     machine = None
     for _ in range(rounds):

@@ -117,3 +117,43 @@ def test_labels_of_held_out_documents_are_not_used(spark):
     a = tx.fit(df, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
     b = tx.fit(df, spark.createDataFrame(flip, "doc_id long, toxic int"))
     assert (a.slot == b.slot).all() and (a.weight == b.weight).all() and (a.curve == b.curve).all()
+
+
+def families(n: int, seed: int) -> tuple[list[str], list[int]]:
+    """Toxic texts hold several words of a family whose beginnings a few clean texts have too, in one word of theirs;
+    beside them toxic texts of whole insults."""
+    rng = random.Random(seed)
+    syllables = ("ach", "lich", "keit", "ber", "zu", "ge", "sch", "ein", "tz", "und", "ver", "st")
+    texts, toxic = [], []
+
+    def word(begin=""):
+        return begin + "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    for i in range(n):
+        w = [word() for _ in range(rng.randint(20, 80))]
+        y = i % 8 == 0
+        if y and i % 16:
+            w += [rng.choice(INSULTS) for _ in range(rng.randint(1, 3))]
+        elif y:
+            w += ["achli" + rng.choice(syllables) for _ in range(rng.randint(3, 6))]
+        elif rng.random() < 0.1:
+            w.append(word("achli"))
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+        toxic.append(int(y))
+    return texts, toxic
+
+
+def test_word_families_that_clean_texts_touch():
+    fitted = tx.train(*families(1600, 5))
+    texts, toxic = families(1600, 6)
+    predicted = fitted.scores(pa.array(texts)) >= tx.THRESHOLD
+    kind = np.array([0 if not y else 1 if i % 16 else 2 for i, y in enumerate(toxic)])
+    assert predicted[kind == 1].mean() > 0.9 and predicted[kind == 2].mean() > 0.9 and predicted[kind == 0].mean() < 0.05
+
+
+def test_copies_of_a_toxic_text_add_no_words():
+    """Chance words of a text that occurs often are not taken for telling ones."""
+    texts, toxic = corpus(600, 7)
+    bags = tx.Bags(texts + [texts[0]] * 5, np.array(toxic + [toxic[0]] * 5))
+    words = {bags.data[bags.starts[i]:bags.ends[i]].tobytes().decode() for i in bags.telling(bags.first_signal())}
+    assert toxic[0] and set(INSULTS) <= words and len(words) < len(INSULTS) + 3
