@@ -20,7 +20,7 @@ a few hundred numbers and goes to the tasks with the function.
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are joined by a newline; inline markup does not break a block and ``br`` is white space. Cases: null, empty and
 text-only pages are handled (a page of bare text is one block); unclosed and stray
-tags are tolerated; whole pages are read, of any length. Repeated rows are extracted alike. Other columns are ignored.
+tags are tolerated, and an element without text (``svg``, ``object``, ``select`` and their like) that is never closed is empty; whole pages are read, of any length. Repeated rows are extracted alike. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,8 +44,12 @@ SEED = 11
 THRESHOLD = 0.5
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|math|iframe|object|select|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>|<[!?][^>]*>|"
+    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+# the rest of an element whose content is no markup: to its closing tag, or to the end of the page
+REST = {t: re.compile(rf".*?(?:</{t}(?=[\s/>])[^>]*>|\Z)", re.S | re.I) for t in ("script", "style", "textarea", "title")}
+# elements in the line whose content is markup, but not text of the page
+SKIPPED = frozenset("template noscript svg math iframe object select".split())
 ATTR = re.compile(r"(?:^|\s)(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 # elements that stay inside a block
@@ -79,6 +83,55 @@ class Node:
         self.text, self.linked = "", 0
 
 
+def tokens(page: str) -> list[tuple[int, int, str | None, str | None, str]]:
+    """(start, end, "/" of a closing tag, name in lower case, attributes) of the tags of a page; the name is None for
+    comments and for elements without text, which are one token from their opening to their closing tag."""
+    out: list[tuple[int, int, str | None, str | None, str]] = []
+    at = foreign = 0
+    some = False
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        name = m[3] and m[3].lower()
+        if m[1] and not (foreign and page[at - 2] == "/"):
+            at = REST[m[1].lower()].match(page, at).end()
+        elif name in SKIPPED:
+            some = True
+            if name in ("svg", "math") and not m[4].endswith("/"):
+                foreign = max(0, foreign + (-1 if m[2] else 1))
+        out.append((m.start(), at, m[2], name, m[4] or ""))
+    return whole(out) if some else out
+
+
+def whole(tags: list[tuple[int, int, str | None, str | None, str]]) -> list[tuple[int, int, str | None, str | None, str]]:
+    """``tags`` with every closed element of SKIPPED as one token. One that is not closed before an element around it is,
+    or by a "/" of its own, is empty."""
+    closed: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = defaultdict(int)
+    for i, (_, _, closing, name, raw) in enumerate(tags):
+        if name is None or name in INLINE or name in VOID:
+            continue
+        if not closing:
+            if not raw.endswith("/"):
+                stack.append((name, i))
+                count[name] += 1
+        elif count[name]:
+            while True:
+                tag, k = stack.pop()
+                count[tag] -= 1
+                if tag == name:
+                    break
+            if name in SKIPPED:
+                closed[k] = i
+    out, i = [], 0
+    while i < len(tags):
+        last = closed.get(i, i)
+        start, name = tags[i][0], tags[i][3]
+        out.append((start, tags[last][1], None, None, "") if name in SKIPPED else tags[i])
+        i = last + 1
+    return out
+
+
 def parse(page: str | None) -> list[Node]:
     """Nodes of a page in order; parents come before their children. Node 0 is the root."""
     nodes = [Node(-1, "root", label=0)]
@@ -106,13 +159,11 @@ def parse(page: str | None) -> list[Node]:
 
     page = page or ""
     at = 0
-    for m in TOKEN.finditer(page):
-        add(page[at:m.start()])
-        at = m.end()
-        closing, name = m[2], m[3]
+    for start, end, closing, name, raw in tokens(page):
+        add(page[at:start])
+        at = end
         if name is None:
             continue  # comments, scripts and other content that is never text
-        name = name.lower()
         if name in INLINE:
             if name == "br":
                 run.append(" ")
@@ -137,7 +188,6 @@ def parse(page: str | None) -> list[Node]:
                 elif tag in LIMITS:
                     break
             del stack[k:]
-        raw = m[4]
         words, label = "", nodes[stack[-1]].label
         if raw:
             for a in ATTR.finditer(raw):

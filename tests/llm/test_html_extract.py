@@ -88,3 +88,28 @@ def test_edges(spark, model):
     assert by[1] == by[2] == by[8] == "" and by[5] == "<" and by[3] == "bare <text> only"
     assert by[6] == "\n".join(["word word word."] * 20000)
     assert hx.extract(df.limit(0)).count() == 0
+
+
+Q = "This is a sentence of some words, as articles have them. "
+
+
+@pytest.mark.parametrize("within,want", [
+    ('one <svg class="i"/> two', "one two"), ('one <math/> two', "one two"), ('one <svg><path d="x"/><title/></svg> two', "one two"),
+    ('one <svg viewBox="0 0 1 1"><title>icon</title><text>no</text></svg> two', "one two"),
+    ('one <object data="x"> two', "one two"), ('one <select name="s"> two', "one two"), ('one <iframe src="x"> two', "one two"),
+    ('one <select><option>no</select> two', "one two"), ('one <object><object>no</object>no</object> two', "one two"),
+    ('one <noscript><img src="x">no</noscript> two', "one two"), ('one <object> two <object>no</object>', "one two"),
+    ('one <script>var x = "<p>no</p>";</script> two', "one two")])
+def test_elements_without_text(model, within, want):
+    """What is left out ends with its own element; an element that is never closed takes nothing with it."""
+    page = f"<article><p>{Q}{within}</p><p>{Q}three</p></article>"
+    assert hx.main_text(page, model) == f"{Q}{want}\n{Q}three"
+
+
+def test_names_that_begin_like_others(model):
+    for name in ("object-card", "title-bar", "style-guide", "script-box", "svg-icon"):
+        page = f"<article><p>{Q}one</p><{name}><p>{Q}two</p></{name}><p>{Q}three</p></article>"
+        assert hx.main_text(page, model) == f"{Q}one\n{Q}two\n{Q}three"
+    unclosed = f"<article><p>{Q}one</p><div><svg></div><p>{Q}two</p></svg></article>"
+    assert hx.main_text(unclosed, model) == f"{Q}one\n{Q}two"
+    assert len(hx.parse("<p>x" * 30000 + "<svg>" * 30000 + "</div></svg>" * 30000)) == 60001
