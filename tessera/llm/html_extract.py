@@ -132,8 +132,9 @@ def whole(tags: list[tuple[int, int, str | None, str | None, str]]) -> list[tupl
     return out
 
 
-def parse(page: str | None) -> list[Node]:
-    """Nodes of a page in order; parents come before their children. Node 0 is the root."""
+def parse(page: str | None, labelled: bool = True) -> list[Node]:
+    """Nodes of a page in order; parents come before their children. Node 0 is the root.
+    The label marks of the layouts (``data-y``) are an ordinary attribute of real pages: not read unless ``labelled``."""
     nodes = [Node(-1, "root", label=0)]
     stack = [0]
     run: list[str] = []
@@ -193,7 +194,7 @@ def parse(page: str | None) -> list[Node]:
             for a in ATTR.finditer(raw):
                 value = a[2] or a[3] or a[4] or ""
                 if a[1].lower() == "data-y":
-                    label = int(value)
+                    label = int(value) if labelled else label
                 else:
                     words += " " + value.lower()
         nodes.append(Node(stack[-1], name, words, label))
@@ -425,11 +426,11 @@ def fit(pages: DataFrame | None = None, html_col: str = "html", id_col: str = "p
 def fit_trees(texts: list[str]) -> Model:
     rng = random.Random(SEED)
     trees = [parse(layout(rng)) for _ in range(LAYOUTS)]
-    return train(trees + [t for t in map(parse, texts) if marked(t)])
+    return train(trees + [t for t in (parse(x, labelled=False) for x in texts) if marked(t)])
 
 
 def main_text(page: str | None, model: Model, threshold: float = THRESHOLD) -> str:
-    nodes = parse(page)
+    nodes = parse(page, labelled=False)
     if len(nodes) == 2 and nodes[1].tag == "#text":
         return nodes[1].text
     return "\n".join(node.text for node, p in zip(nodes, model.marginals(nodes))

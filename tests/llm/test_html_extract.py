@@ -113,3 +113,10 @@ def test_names_that_begin_like_others(model):
     unclosed = f"<article><p>{Q}one</p><div><svg></div><p>{Q}two</p></svg></article>"
     assert hx.main_text(unclosed, model) == f"{Q}one\n{Q}two"
     assert len(hx.parse("<p>x" * 30000 + "<svg>" * 30000 + "</div></svg>" * 30000)) == 60001
+
+
+def test_label_marks_of_real_pages_are_not_read(spark, model):
+    page = '<article data-y="12.5px"><p data-y="">' + Q + '</p><div data-y="top" data-y=0><p data-y="0">' + Q + "</p></div></article>"
+    df = spark.createDataFrame([(i, "u", page.replace("12.5px", y)) for i, y in enumerate(("x", "", "1", "7"))], "page_id long, url string, html string")
+    plain = hx.main_text(f"<article><p>{Q}</p><div><p>{Q}</p></div></article>", model)
+    assert [r.text for r in hx.extract(df).collect()] == [plain] * 4
