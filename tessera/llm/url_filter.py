@@ -8,7 +8,8 @@ were active when it was fetched, not by today's list.
 * :func:`validity_intervals` turns (list_key, category, action, at) events into
   intervals with ``lead`` over each key's own events.
 * :func:`capture_keys` lists the keys by which a URL can be listed: its host,
-  the host's parent domains, and the host with its leading path segments.
+  the host's parent domains, and the host with its leading path segments (as many as
+  the deepest entry of the list has).
 * :func:`judge` joins both on the key and keeps the intervals that hold the
   fetch time. Intervals are few per key and captures may be many (a third of
   them may share a host), so captures are salted and the intervals are repeated
@@ -38,7 +39,7 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
 
 
-def capture_keys(url: Column, path_depth: int = PATH_DEPTH) -> Column:
+def capture_keys(url: Column, path_depth: Column | int = PATH_DEPTH) -> Column:
     """Array of the keys that can list ``url``: every suffix of the host with at
     least two labels, and the host followed by 1..path_depth path segments."""
     host = host_of(url)
@@ -78,7 +79,10 @@ def judge(captures: DataFrame, intervals: DataFrame, id_col: str = "page_id", ur
     """
     cap = captures.select(F.col(id_col).alias("cid"), F.col(url_col).alias("curl"),
                           F.col(time_col).alias("fetched")).distinct()
-    keyed = cap.withColumn("list_key", F.explode_outer(capture_keys(F.col("curl"))))
+    # one row: the most path segments of an entry
+    deepest = intervals.agg(F.coalesce(F.max(F.size(F.split("list_key", "/")) - 1), F.lit(0)).alias("deepest"))
+    keyed = cap.crossJoin(F.broadcast(deepest)).withColumn(
+        "list_key", F.explode_outer(capture_keys(F.col("curl"), F.col("deepest")))).drop("deepest")
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("cid", "curl"), F.lit(salts)).cast("int"))
     spread = intervals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = keyed.join(spread, ["list_key", "salt"], "left")

@@ -73,3 +73,16 @@ def test_intervals(spark):
                     if r.category == "spam"), key=str)
     assert spans == [("bad.example.com", D(2023, 1, 10), D(2023, 2, 10)), ("bad.example.com", D(2023, 3, 10), None),
                      ("twice.org", D(2023, 1, 1), D(2023, 6, 1)), ("twice.org", D(2023, 6, 1), None)]
+
+
+def test_entries_of_any_path_depth(spark):
+    """An entry matches as many path segments as it has."""
+    deep = "d.org/" + "/".join("abcdefgh")
+    events = [("h.com/a/b/c", "spam", "add", D(2023, 1, 1)), ("h.com/a", "allow", "add", D(2023, 1, 1)), (deep, "adult", "add", D(2023, 1, 1))]
+    urls = {"http://h.com/a/b/c": "h.com/a/b/c", "http://h.com/a//b/c/d?x": "h.com/a/b/c", "http://h.com/a/b": "h.com/a",
+            "http://h.com/a/b/cc": "h.com/a", "http://" + deep + "/i/j": deep, "http://d.org/a/b/c": None}
+    cap = spark.createDataFrame([(i, u, D(2023, 2, 1)) for i, u in enumerate(urls)], "page_id int, url string, fetched_at date")
+    ev = spark.createDataFrame(events, "list_key string, category string, action string, at date")
+    intervals = uf.validity_intervals(ev)
+    assert {r.url: r.list_key for r in uf.judge(cap, intervals).collect()} == urls
+    assert {r.url for r in uf.judge(cap, intervals).where("blocked").collect()} == {u for u, k in urls.items() if k and k != "h.com/a"}
