@@ -15,7 +15,8 @@ storage that Spark can write. One partition becomes one gzip archive.
 Cases: null html is an empty payload, a null URL is written as ``unknown:``, white space in
 URLs is percent-encoded, null ids come back as null. Short or malformed dates are
 padded. A record cut off by the end of a file is kept with what is there and marked. Empty tables
-give no records. Of equal payloads (100 bytes or more) all records with the smallest page_id are responses. Other columns are ignored.
+give no records. Of equal payloads (100 bytes or more) all records with the smallest page_id are responses, and so are those without a page_id, to which no
+record refers. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -195,7 +196,7 @@ def iso_date(date: Column) -> Column:
 
 def revisits(meta: DataFrame, least: int = REVISIT_LEAST) -> DataFrame:
     """(page_id, payload_digest, refers_to, refers_id, refers_uri) of the records that repeat an earlier payload."""
-    long = meta.where(F.col("payload_bytes") >= least)
+    long = meta.where((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull())
     own = F.struct("page_id", "url", "date")
     firsts = long.groupBy("payload_digest").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = firsts.select("payload_digest", F.col("first.page_id").alias("refers_to"), F.col("first.url").alias("refers_uri"),

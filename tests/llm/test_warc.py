@@ -79,3 +79,12 @@ def test_dates(spark):
     assert [r.t for r in df.select(warc.iso_date(df.d).alias("t")).collect()] == [
         "2001-02-03T04:05:06Z", "2001-02-01T00:00:00Z", "1970-01-01T00:00:00Z", "1970-01-01T00:00:00Z",
         "2001-01-01T00:00:00Z"]
+
+
+def test_copies_beside_null_ids(spark):
+    """A record without an id takes no revisits from the records that have one."""
+    big, other = "<p>the same payload</p>" * 9, "<p>another payload</p>" * 9
+    pages = [(None, "u0", big), (1, "u1", big), (2, "u2", big), (None, "u3", big), (3, "u4", big), (None, "u5", other), (4, "u6", other),
+             (None, "u7", "<p>only without ids</p>" * 9), (None, "u8", "<p>only without ids</p>" * 9)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert got(warc.convert_pages(df)) == brute([(p, h) for p, _, h in pages])
