@@ -22,11 +22,13 @@ word as its pair. The likeness of two empty documents is 1, of an empty and a no
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import textcols as tc
@@ -133,35 +135,53 @@ def edited(text: str, following: str) -> str:
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """(doc_id, text, bucket, edge): rows dealt to ranges of descending ids; each range
-    also holds, as its last row (edge 1), the row that follows it.
+    also holds, as its last row (edge 1), the row that follows it. An id of many rows, and null, take
+    several ranges, cut by the text's hash; only rows of one id and one text stay together.
 
-    Only the ids are looked at to place the ranges, and the driver holds one
+    Only the ids (of ties, also the texts' hashes) are looked at to place the ranges, and the driver holds one
     id per range. The texts are shuffled once.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     points = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(base.select(F.percentile_approx("doc_id", points, 10_000)).first()[0] or []))
-    # null ids come last, in a range of their own, below every id
-    place = F.lit(len(cuts) + 1)
-    if cuts:
-        place = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c >= F.col("doc_id"))), place)
-        place = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(place)
-    else:
-        place = F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(F.lit(0))
+    found, without, rows = base.select(F.percentile_approx("doc_id", points, 10_000), F.count_if(F.col("doc_id").isNull()),
+                                       F.count(F.lit(1))).first()
+    # an id that is met several times among the points has that many times the rows of a range: it is cut into as many
+    # by the text's hash, in whose order its rows are, and the smaller ids of its range follow them
+    many = Counter(found or [])
+    tops = [None, *sorted(many, reverse=True)]
+    slices = [0, *(many[c] if many[c] > 1 else 0 for c in tops[1:])]
+    starts = [0, *itertools.accumulate(n + 1 for n in slices)]
+    # null ids come last, in ranges of their own, below every id
+    nulls = max(1, -(-without * buckets // max(rows, 1)))
+
+    def literal(values: list[int | None]) -> Column:
+        return F.array(*[F.lit(v).cast("long") for v in values])
+
+    def part(n: Column | int) -> Column:
+        """Which of n equal parts of the hashes the text's is in."""
+        share = F.xxhash64("text").cast("double") / 2.0**64 + 0.5
+        return F.least(F.floor(share * n), F.lit(n) - 1)
+
+    nth = F.size(F.filter(literal(tops[1:]), lambda c: c >= F.col("doc_id"))) + 1 if many else F.lit(1)
+    cut = F.element_at(literal(slices), nth)
+    tied = (cut > 0) & (F.col("doc_id") == F.element_at(literal(tops), nth))
+    within = F.when(tied, part(cut)).otherwise(cut) if any(slices) else F.lit(0)
+    place = F.when(F.col("doc_id").isNull(), F.lit(starts[-1]) + (part(nulls) if nulls > 1 else F.lit(0))).otherwise(
+        F.element_at(literal(starts), nth) + within)
     dealt = base.withColumn("bucket", place.cast("int"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     heads = (dealt.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy("bucket").collect())
     # the head of a range is the first of its largest id; ties are ordered by text
-    tops = dealt.join(F.broadcast(docs.sparkSession.createDataFrame(
+    firsts = dealt.join(F.broadcast(docs.sparkSession.createDataFrame(
         [(h.bucket, h["head"]) for h in heads], "bucket int, head long")), "bucket").where(
         F.col("doc_id").eqNullSafe(F.col("head"))).drop("head")
-    tops = tops.withColumn("rk", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where("rk = 1")
+    firsts = firsts.withColumn("rk", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where("rk = 1")
     held = [h.bucket for h in heads]
     if not held:
         return dealt.withColumn("edge", F.lit(0))
     before = {b: held[i - 1] for i, b in enumerate(held)}  # the first range follows the last
     to = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-    edges = tops.select("doc_id", "text", to[F.col("bucket")].alias("bucket"), F.lit(1).alias("edge"))
+    edges = firsts.select("doc_id", "text", to[F.col("bucket")].alias("bucket"), F.lit(1).alias("edge"))
     return dealt.withColumn("edge", F.lit(0)).unionByName(edges)
 
 

@@ -305,8 +305,8 @@ def classify(docs: DataFrame, id_col: str, text_col: str, ngram: int, recall: fl
                        F.xxhash64(text).alias("key"), text.alias("text"))
     sigs = written(signatures(base, ngram, runs * depth), "sets")
     classes = written(sigs.where("n > 0").groupBy("s1", "s2").agg(
-        F.min("d").alias("d"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"),
-        F.first("mins").alias("mins")), "classes")
+        F.min(F.struct("d", "key")).alias("low"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"),
+        F.first("mins").alias("mins")).select("s1", "s2", "low.d", "low.key", "size", "n", "mins"), "classes")
     # sampled tokens agree in a share J on average; the cut is 4.5 deviations below the threshold
     t, n = P / Q, runs * depth
     agree = max(1, math.floor(n * t - 4.5 * math.sqrt(n * t * (1 - t))))
@@ -314,13 +314,14 @@ def classify(docs: DataFrame, id_col: str, text_col: str, ngram: int, recall: fl
     release(spark)
     groups = components(edges).select(F.col("node").alias("s1"), F.col("label").alias("grp"))
 
-    members = classes.select("s1", "d", "size", "n").join(groups, "s1")
+    members = classes.select("s1", "d", "key", "size", "n").join(groups, "s1")
     extent = members.groupBy("grp").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long").alias("blocks"))
-    members = written(members.join(extent, "grp").select("grp", "s1", "d", "size", "blocks"), "members")
+    members = written(members.join(extent, "grp").select("grp", "s1", "d", "key", "size", "blocks"), "members")
     release(spark)
-    # always a merge join: the same plan, and the same growth, at every size
-    texts = base.hint("merge").join(members.withColumnRenamed("s1", "own"), "d")
+    # always a merge join: the same plan, and the same growth, at every size; with the text's hash, because
+    # rows without an id, or of one id, would all meet each other
+    texts = base.hint("merge").join(members.withColumnRenamed("s1", "own"), ["d", "key"])
     sets = set_rows(texts.select("grp", "own", "d", "size", "blocks", "text"), ngram)
     blocks = split_tasks(sets.withColumnRenamed("own", "s1")).select("task", "side", "s1", "size", "tokens")
     found = written(exact_links(blocks), "links")

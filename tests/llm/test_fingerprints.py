@@ -55,3 +55,18 @@ def test_plain_fingerprints_agree(spark):
     df = spark.createDataFrame([(1, "a b\nc"), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.fingerprint for r in fp.fingerprints(df).collect()} == {
         1: fp.fingerprint_text("a b\nc"), 2: fp.fingerprint_text("")}
+
+
+def test_ties_and_nulls_are_split(spark):
+    """Rows without an id or of one id are dealt to several ranges, in the order of the whole table."""
+    docs = [(None, f"null {i}") for i in range(300)] + [(50, f"fifty {i}") for i in range(300)] + [(i, f"t {i}") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    dealt = fp.with_next(df, "doc_id", "text", 20).where("edge = 0").cache()
+    size = {r.bucket: r["count"] for r in dealt.groupBy("bucket").count().collect()}
+    assert sum(size.values()) == len(docs) and max(size.values()) < 100
+    order = dealt.selectExpr("bucket", "doc_id", "text", "xxhash64(text) h").collect()
+    order.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h, r.text))
+    assert [r.bucket for r in order] == sorted(r.bucket for r in order)
+    follows = [r.text for r in order[1:]] + [order[0].text]
+    want = sorted(((r.doc_id, hashlib.sha256(fp.edited(r.text, f).encode()).hexdigest()) for r, f in zip(order, follows)), key=str)
+    assert sorted(((r.doc_id, r.edited_sha256) for r in fp.compare_next(df, buckets=20).collect()), key=str) == want

@@ -91,3 +91,15 @@ def test_shared_counts(n):
     want = np.array([[len(a & b) for b in sets] for a in sets])
     apart = ~np.eye(n, dtype=bool)  # a set is not compared with itself
     assert (have[apart] == want[apart]).all()
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_are_fetched_once(spark, monkeypatch, doc_id):
+    """Rows that share an id, or have none, do not meet each other's classes."""
+    docs = [(doc_id, " ".join(f"g{g}w{i}" for i in range(60)) + f" end{k}") for g in range(12) for k in range(2)]
+    fetched = []
+    whole = nj.set_rows
+    monkeypatch.setattr(nj, "set_rows", lambda texts, ngram: fetched.append(texts.count()) or whole(texts, ngram))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [(r.doc_id, r.class_id, r.n_links) for r in nj.join_classes(df).collect()] == [(doc_id, doc_id, 1)] * 24
+    assert fetched == [24]
