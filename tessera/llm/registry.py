@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontam, fingerprints, html_extract, mixing, ngram_join, secrets, spelling, substring_dedup, toxicity,
-                         url_filter, warc)
+from tessera.llm import (decontam, fingerprints, html_extract, mixing, ngram_join, prefix_trie, secrets, spelling, substring_dedup,
+                         toxicity, url_filter, warc)
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -73,6 +73,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_at", "listed_since")})
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -152,5 +157,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_warc": OP5_SQL,
     "op7_mix_sources": mixing.mix_sql(),
     "op10_url_filter": url_filter.judge_sql(),
+    "op11_prefix_trie": prefix_trie.trie_sql(),
     "op13_spelling_variants": spelling.variants_sql(),
 }
