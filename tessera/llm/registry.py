@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontam, fingerprints, html_extract, mixing, ngram_join, prefix_trie, secrets, spelling, substring_dedup,
-                         toxicity, url_filter, warc)
+from tessera.llm import (decontam, disclosure, fingerprints, html_extract, mixing, ngram_join, prefix_trie, secrets, spelling,
+                         substring_dedup, toxicity, url_filter, warc)
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -77,6 +77,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
 
 
+def op12_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.report(read(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents"))
 
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_url_filter": op10_url_filter,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_disclosure": op12_disclosure,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
