@@ -27,9 +27,9 @@ def brute(captures, events):
                 past = sorted((e[3], e[2]) for e in events if e[0] == key and e[1] == cat and at is not None and e[3] and e[3] <= at)
                 # a removal wins over an addition of the same moment
                 if past and max(a for d, a in past if d == past[-1][0]) == "add":
-                    active.append((len(key), past[-1][0], key, cat))
+                    active.append((len(key), past[-1][0], key, cat != "allow", cat))
         top = max(active) if active else None
-        out.append((cid, url, at, len(active), bool(top) and top[3] != "allow", top and top[2], top and top[3], top and top[1]))
+        out.append((cid, url, at, len(active), bool(top) and top[3], top and top[2], top and top[4], top and top[1]))
     return sorted(out, key=str)
 
 
@@ -43,9 +43,10 @@ EVENTS = [("bad.example.com", "spam", "add", D(2023, 1, 10)), ("bad.example.com"
           ("bad.example.com/ok", "allow", "add", D(2023, 1, 1)), ("tie.org", "spam", "add", D(2023, 5, 5)),
           ("tie.org", "spam", "remove", D(2023, 5, 5)), ("twice.org", "spam", "add", D(2023, 1, 1)),
           ("twice.org", "spam", "add", D(2023, 6, 1)), ("twice.org", "spam", "add", D(2023, 6, 1)), (None, "spam", "add", D(2023, 1, 1)),
-          ("twice.org", "adult", "add", None)]
+          ("twice.org", "adult", "add", None), ("both.org", "adult", "add", D(2023, 1, 1)), ("both.org", "allow", "add", D(2023, 1, 1)),
+          ("both.org", "malware", "add", D(2023, 1, 1)), ("late.org", "phishing", "add", D(2023, 1, 1)), ("late.org", "allow", "add", D(2023, 1, 5))]
 CAPTURES = [(i, u, t) for i, u in enumerate([
-    "http://bad.example.com/x", "https://BAD.example.com:80/ok/deep?q", "http://other.example.com", "http://tie.org/", "http://twice.org",
+    "http://bad.example.com/x", "https://BAD.example.com:80/ok/deep?q", "http://other.example.com", "http://tie.org/", "http://twice.org", "http://both.org/x", "http://late.org",
     None, "", "no url", "ftp://user@www.bad.example.com/a/b/c#f", "http://localhost/x"]) for t in (
         D(2022, 1, 1), D(2023, 1, 10), D(2023, 2, 9), D(2023, 2, 10), D(2023, 5, 5), D(2023, 7, 1), None)]
 
@@ -86,3 +87,21 @@ def test_entries_of_any_path_depth(spark):
     intervals = uf.validity_intervals(ev)
     assert {r.url: r.list_key for r in uf.judge(cap, intervals).collect()} == urls
     assert {r.url for r in uf.judge(cap, intervals).where("blocked").collect()} == {u for u, k in urls.items() if k and k != "h.com/a"}
+
+
+def test_one_key_in_several_categories(spark):
+    """Blocking comes before 'allow' on the same day; a later 'allow' wins."""
+    ev = spark.createDataFrame(EVENTS, "list_key string, category string, action string, at date")
+    cap = spark.createDataFrame([(1, "http://both.org/", D(2023, 2, 1)), (2, "http://late.org/", D(2023, 2, 1)), (3, "http://late.org/", D(2023, 1, 2))],
+                                "page_id int, url string, fetched_at date")
+    out = {r.page_id: (r.n_active, r.blocked, r.category) for r in uf.judge(cap, uf.validity_intervals(ev)).collect()}
+    assert out == {1: (3, True, "malware"), 2: (2, False, "allow"), 3: (1, True, "phishing")}
+
+
+def test_registered_list_has_deep_entries(spark):
+    """Some captures of the table are decided by entries of several path segments."""
+    from tessera.llm.registry import QUERIES
+
+    from .conftest import SF
+    keys = [r.list_key for r in QUERIES["op10_url_filter"](spark, SF).where("list_key is not null").collect()]
+    assert {k.count("/") for k in keys} >= {0, 1, 2}
