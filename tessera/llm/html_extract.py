@@ -30,6 +30,7 @@ import math
 import pickle
 import random
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -43,11 +44,11 @@ LAYOUTS = 1200
 SEED = 11
 THRESHOLD = 0.5
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>])[^>]*>|<[!?][^>]*>|"
-    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-# the rest of an element whose content is no markup: to its closing tag, or to the end of the page
-REST = {t: re.compile(rf".*?(?:</{t}(?=[\s/>])[^>]*>|\Z)", re.S | re.I) for t in ("script", "style", "textarea", "title")}
+OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)(?=[A-Za-z]))")
+NAME = re.compile(r"[^\s/>]*")
+BORDER = re.compile("[>\"']")
+# elements whose content is no markup: to their closing tag, or to the end of the page
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "textarea", "title")}
 # elements in the line whose content is markup, but not text of the page
 SKIPPED = frozenset("template noscript svg math iframe object select".split())
 ATTR = re.compile(r"(?:^|\s)(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -83,25 +84,90 @@ class Node:
         self.text, self.linked = "", 0
 
 
+class Scanner:
+    """Ends of the tags of a page: the next ``>`` outside quotes. Every border is looked at once, however many tags are never closed."""
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+
+    def end(self, at: int) -> int:
+        """Position after the tag that is open at ``at``, -1 if it does not end."""
+        path, found = [], -1
+        while at <= self.last[">"]:
+            m = BORDER.search(self.page, at)
+            if m is None:
+                break
+            at = m.start()
+            if at in self.known:
+                found = self.known[at]
+                break
+            path.append(at)
+            c = m[0]
+            if c == ">":
+                found = at + 1
+                break
+            if at >= self.last[c]:
+                break
+            at = self.page.index(c, at + 1) + 1
+        for p in path:
+            self.known[p] = found
+        return found
+
+    def first(self, at: int) -> int:
+        """Position after the next ``>``, quoted or not, -1 if there is none."""
+        return self.page.index(">", at) + 1 if at <= self.last[">"] else -1
+
+
 def tokens(page: str) -> list[tuple[int, int, str | None, str | None, str]]:
     """(start, end, "/" of a closing tag, name in lower case, attributes) of the tags of a page; the name is None for
-    comments and for elements without text, which are one token from their opening to their closing tag."""
+    comments and for elements without text, which are one token from their opening to their closing tag. What begins like a tag but has no end is text."""
     out: list[tuple[int, int, str | None, str | None, str]] = []
     at = foreign = 0
-    some = False
-    while m := TOKEN.search(page, at):
-        at = m.end()
-        name = m[3] and m[3].lower()
-        if m[1] and not (foreign and page[at - 2] == "/"):
-            at = REST[m[1].lower()].match(page, at).end()
-        elif name in SKIPPED:
+    some, scan = False, Scanner(page)
+    while m := OPENING.search(page, at):
+        start = m.start()
+        if m[1]:
+            end = page.find("-->", m.end())
+            at = end + 3 if end >= 0 else len(page)
+            out.append((start, at, None, None, ""))
+            continue
+        if m[2]:
+            end = scan.first(m.end())
+            at = end if end >= 0 else m.end()
+            if end >= 0:
+                out.append((start, at, None, None, ""))
+            continue
+        end = scan.end(m.end())
+        n = NAME.match(page, m.end(), end) if end >= 0 else None
+        name = n and n[0].lower()
+        if not m[3] and (name in RAW if n else raw_name(page, m.end()) in RAW):
+            end = scan.first(m.end())
+            if end >= 0:
+                at = end
+                if not (foreign and page[at - 2] == "/"):
+                    close = RAW[name or raw_name(page, m.end())].search(page, at)
+                    at = scan.first(close.end()) if close and close.end() <= scan.last[">"] else len(page)
+                out.append((start, at, None, None, ""))
+                continue
+        if end < 0:
+            at = m.end()
+            continue
+        at = end
+        raw = page[n.end():end - 1]
+        if name in SKIPPED:
             some = True
-            if name in ("svg", "math") and not m[4].endswith("/"):
-                foreign = max(0, foreign + (-1 if m[2] else 1))
-        out.append((m.start(), at, m[2], name, m[4] or ""))
+            if name in ("svg", "math") and not raw.endswith("/"):
+                foreign = max(0, foreign + (-1 if m[3] else 1))
+        out.append((start, at, m[3], name, raw))
     return whole(out) if some else out
 
 
+def raw_name(page: str, at: int) -> str:
+    """Name of a tag whose quotes do not match (no name of RAW is longer)."""
+    return NAME.match(page, at, at + 9)[0].lower()
+
+
 def whole(tags: list[tuple[int, int, str | None, str | None, str]]) -> list[tuple[int, int, str | None, str | None, str]]:
     """``tags`` with every closed element of SKIPPED as one token. One that is not closed before an element around it is,
     or by a "/" of its own, is empty."""
@@ -137,6 +203,8 @@ def parse(page: str | None, labelled: bool = True) -> list[Node]:
     The label marks of the layouts (``data-y``) are an ordinary attribute of real pages: not read unless ``labelled``."""
     nodes = [Node(-1, "root", label=0)]
     stack = [0]
+    places: dict[str, list[int]] = defaultdict(list)   # positions of the open elements of a name
+    limits = [0]
     run: list[str] = []
     link_depth, linked = 0, 0
 
@@ -150,6 +218,13 @@ def parse(page: str | None, labelled: bool = True) -> list[Node]:
                 nodes.append(leaf)
         run, linked = [], 0
 
+    def cut(k: int) -> None:
+        while len(stack) > k:
+            tag = nodes[stack.pop()].tag
+            places[tag].pop()
+            if tag in LIMITS:
+                limits.pop()
+
     def add(piece: str) -> None:
         nonlocal linked
         if piece:
@@ -174,21 +249,13 @@ def parse(page: str | None, labelled: bool = True) -> list[Node]:
         flush()
         link_depth = 0
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == name:
-                    del stack[k:]
-                    break
+            if places[name]:
+                cut(places[name][-1])
             continue
-        shut = CLOSES.get(name)
-        if shut:
-            k = len(stack)
-            for j in range(len(stack) - 1, 0, -1):
-                tag = nodes[stack[j]].tag
-                if tag in shut:
-                    k = j
-                elif tag in LIMITS:
-                    break
-            del stack[k:]
+        for tag in CLOSES.get(name, ()):
+            k = bisect_right(places[tag], limits[-1])
+            if k < len(places[tag]):
+                cut(places[tag][k])
         words, label = "", nodes[stack[-1]].label
         if raw:
             for a in ATTR.finditer(raw):
@@ -199,6 +266,9 @@ def parse(page: str | None, labelled: bool = True) -> list[Node]:
                     words += " " + value.lower()
         nodes.append(Node(stack[-1], name, words, label))
         if name not in VOID and not raw.endswith("/"):
+            places[name].append(len(stack))
+            if name in LIMITS:
+                limits.append(len(stack))
             stack.append(len(nodes) - 1)
     add(page[at:])
     flush()
