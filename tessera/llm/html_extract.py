@@ -278,20 +278,49 @@ def parse(page: str | None, labelled: bool = True) -> list[Node]:
 _STEM = {s: s for s in STEMS}
 
 
+# words that turn the rest of a name round: "ad-free", "no-sidebar"
+NEGATIONS = frozenset(("free", "no", "non", "without", "hide", "hidden", "not"))
+
+
 def stems(words: str) -> set[str]:
-    """Known stems among the words of class, id and role; "ad" and "tag" only as whole words."""
+    """Known stems among the words of class, id and role; "ad" and "tag" only as whole words, and none in a name that negates them."""
     out = set()
-    for w in WORDS.findall(words):
-        for n in range(len(w), 1, -1):
-            if w[:n] in _STEM and (n > 3 or n == len(w) or w[:n] == "nav"):
-                out.add(w[:n])
-                break
+    for name in words.split():
+        parts = WORDS.findall(name)
+        if len(parts) > 1 and not NEGATIONS.isdisjoint(parts):
+            continue
+        for w in parts:
+            for n in range(len(w), 1, -1):
+                if w[:n] in _STEM and (n > 3 or n == len(w) or w[:n] == "nav"):
+                    out.add(w[:n])
+                    break
     return out
 
 
 _FEATURES: dict[tuple[str, str], tuple[str, tuple[str, ...]]] = {}
 
 
+def measure(nodes: list[Node]) -> list[tuple[str, ...]]:
+    """Features of every element from the text below it: its share of the page's text, and of it the share in links."""
+    n = len(nodes)
+    size, linked = [0] * n, [0] * n
+    for i in range(n - 1, -1, -1):
+        node = nodes[i]
+        size[i] += len(node.text)
+        linked[i] += node.linked
+        if i:
+            size[node.parent] += size[i]
+            linked[node.parent] += linked[i]
+    total = size[0] or 1
+    return [() if nodes[i].tag in OUTER else
+            (f"share{bisect_right(SHARES, size[i] / total)}", f"links{min(3, int(4 * linked[i] / size[i]))}" if size[i] else "empty")
+            for i in range(n)]
+
+
+OUTER = frozenset(("root", "#text", "html", "head", "body"))
+SHARES = (0.02, 0.08, 0.2, 0.4, 0.7)
+
+
 def describe(node: Node) -> None:
     """Set the node's kind (for the parent-child potential) and its features."""
     if node.tag == "#text":
@@ -322,12 +351,12 @@ class Model:
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Content marginal of every node by sum-product over the tree."""
         n = len(nodes)
-        own, prior = [0.0] * n, [self.rest] * n
+        own, prior, sizes = [0.0] * n, [self.rest] * n, measure(nodes)
+        get = self.unary.get
         for i, node in enumerate(nodes):
             if i:
                 describe(node)
-                get = self.unary.get
-                own[i] = sum(get(f, 0.0) for f in node.features)
+                own[i] = sum(get(f, 0.0) for f in node.features + sizes[i])
                 p = self.pair.get(node.kind)
                 prior[i] = p if p is not None else self.pair.get(node.tag, self.rest)
         own[0] = -8.0  # the root is not content
@@ -373,13 +402,14 @@ def train(pages: list[list[Node]], smooth: float = 0.5, weight: float = 0.6, lea
     pair: dict[str, list[list[float]]] = defaultdict(lambda: [[smooth, smooth], [smooth, smooth]])
     total = [smooth, smooth]
     for nodes in pages:
+        sizes = measure(nodes)
         for i, node in enumerate(nodes):
             if not i:
                 continue
             describe(node)
             y, up = node.label, nodes[node.parent].label
             total[y] += 1
-            for f in node.features:
+            for f in node.features + sizes[i]:
                 feature[f][y] += 1
             for kind in {node.kind, node.tag}:
                 pair[kind][up][y] += 1
@@ -413,11 +443,13 @@ FURNITURE = (
     '<div id="comments"><h3>S</h3><ol><li><p>Q</p></li><li><p>P</p></li></ol></div>',
     '<div class="comment-list"><article class="comment"><p>Q</p></article><article class="comment"><p>P</p></article></div>',
     '<div class="replies"><div class="reply"><p>Q</p></div></div>', '<div role="complementary"><p>Q</p></div>',
-    '<div role="contentinfo"><p>P</p></div>', '<ul>L</ul>')
+    '<div role="contentinfo"><p>P</p></div>')
 # furniture of any kind may carry any of the stems
 FURNITURE += tuple(f'<{e} {a}="{s}">{i}</{e}>' for k, s in enumerate(FURNITURE_STEMS)
                    for e, a, i in ((("div", "class", "<p>P</p>"), ("section", "id", "<h3>S</h3><p>Q</p>"), ("p", "class", "P"),
                                     ("ul", "class", "L"), ("div", "id", "P"))[k % 5], ("div", "class", "<p>Q</p><p>P</p>")))
+FURNITURE += ('<ul>L</ul>', '<div>L</div>', '<div><a href="#">S</a> <a href="#">S</a></div>', '<p><a href="#">S</a> <a href="#">S</a></p>')
+PLAIN = 4
 HOLDERS = ('<article>B</article>', '<main>B</main>', '<main><article>B</article></main>', '<div class="content">B</div>',
            '<div id="main-content">B</div>', '<div class="post"><div class="entry-content">B</div></div>',
            '<section class="story">B</section>', '<div class="prose">B</div>', '<div class="article-body">B</div>', '<div id="main"><div class="text">B</div></div>',
@@ -425,11 +457,17 @@ HOLDERS = ('<article>B</article>', '<main>B</main>', '<main><article>B</article>
 BLOCKS = ('<p>Q</p>', '<p>W</p>', '<p>W</p>', '<div>W</div>', '<p>Q</p>', '<p>Q</p>', '<p>P</p>', '<p>Q<br>P', '<h2>S</h2>', '<h3>S</h3>', '<ul><li>P</li><li>P</li></ul>',
           '<ol><li>S</li><li>P</li></ol>', '<blockquote><p>Q</p></blockquote>', '<pre>P</pre>', '<p><b>S</b> Q</p>', '<p>S</p>',
           '<p>S <a href="#">S</a> P</p>', '<table><tr><th>S</th><td>P</td></tr></table>', '<dl><dt>S</dt><dd>P</dd></dl>',
+          '<ul>L</ul>', '<ul><li><a href="#">S</a></li></ul>', '<p><a href="#">S</a></p>', '<div class="ad-free">Q</div>',
           '<div>Q</div>', '<figure><figcaption>P</figcaption></figure>', '<section><h2>S</h2><p>Q</p></section>')
 
 
-def layout(rng: random.Random) -> str:
-    """One labelled page: ``data-y`` on an element labels its subtree."""
+GENERIC = 0.4   # share of pages whose names say nothing
+GENERIC_TAGS = re.compile(r"(</?)(?:nav|header|footer|aside|main|article|section)\b")
+
+
+def layout(rng: random.Random, generic: float = GENERIC) -> str:
+    """One labelled page: ``data-y`` on an element labels its subtree. In a ``generic`` page every class, id and role is
+    made up, and often plain elements stand for the telling ones, so that amounts of text and links must tell."""
     def words(a: int, b: int) -> str:
         return " ".join("".join(rng.choice("aeiouklmnrst") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(a, b)))
 
@@ -443,15 +481,24 @@ def layout(rng: random.Random) -> str:
     def labelled(t: str, y: int) -> str:
         return re.sub(r"^<(\w+)", rf'<\1 data-y="{y}"', t)
 
-    def furniture() -> str:
-        return labelled(rng.choice(FURNITURE), 0)
+    unnamed = rng.random() < generic
+    plain = unnamed and rng.random() < 0.6
+
+    def anonymous(t: str) -> str:
+        if unnamed:
+            t = re.sub(r' (class|id|role)="[^"]*"', lambda m: rng.choice(("", f' class="{rng.choice("abcxyz")}{rng.randint(1, 99)}"')), t)
+        return GENERIC_TAGS.sub(r"\1div", t) if plain else t
+
+    def furniture(inside: bool = False) -> str:
+        # within an article, a list of links is furniture only by its name
+        return labelled(anonymous(rng.choice(FURNITURE[:-PLAIN] if inside else FURNITURE)), 0)
 
     body = ['<h1>S</h1>' if rng.random() < 0.7 else '']
     for _ in range(rng.randint(1, 9)):
         body.append(rng.choice(BLOCKS))
         if rng.random() < 0.12:
-            body.append(furniture())
-    main = labelled(rng.choice(HOLDERS), 1).replace("B<", "".join(body) + "<", 1)
+            body.append(furniture(True) if not unnamed else "")
+    main = labelled(anonymous(rng.choice(HOLDERS)), 1).replace("B<", "".join(body) + "<", 1)
     around = [furniture() for _ in range(rng.randint(1, 4))], [furniture() for _ in range(rng.randint(1, 4))]
     page = "".join(around[0]) + main + "".join(around[1])
     if rng.random() < 0.3:
