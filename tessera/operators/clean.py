@@ -6,17 +6,31 @@ plan as literals in a single projection (``coalesce(col, mean)``), which keeps
 the whole step inside one codegen stage.
 
 Sequential filter: column j's bounds are computed over the rows that survived
-columns 1..j-1, so the steps are serial by definition (one small aggregate per
-column). The input is materialised once (cached, or landed as Parquet in the
-cluster's shared checkpoint folder) and every step reads only the columns it
-needs from it; the stacked filters collapse into one Filter node.
+columns 1..j-1. Done as written that is one job per column
+(:func:`stepwise_bounds`). :func:`sequential_bounds` needs few passes:
+
+1. one aggregate gives mean and deviation of every column over all rows;
+2. two scans split the rows. Those inside a range somewhat narrower than mean +/- k*sd in every
+   column are summed up as centred moments (count, mean, sum of squares); the others, the
+   suspects, are written to a table of their own;
+3. the steps of all columns are settled together on the suspects. Under guessed bounds every suspect has a first column that
+   drops it, so one aggregate gives the moments of every column's survivors, merged with
+   those of step 2. These give better bounds, until they stay. Column 1 is right after the first round, and each round makes at least
+   one more column right;
+4. the result is proven if every column's range of step 2 lies inside its bounds, since then no row but a
+   suspect can be dropped. Else step 2 is done again around the bounds found, with a narrower range.
+
+Moments are merged, never subtracted, so an extreme value that is dropped early leaves no
+rounding error behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.layout import cache_sized
@@ -69,7 +83,7 @@ def range_filter(df: DataFrame, bounds: DataFrame | dict[str, tuple[float, float
     return df.where(bounds_predicate(bounds))
 
 
-def _materialise(df: DataFrame, how: str) -> tuple[DataFrame, callable]:
+def _materialise(df: DataFrame, how: str) -> tuple[DataFrame, Callable]:
     if how == "cache":
         held = cache_sized(df)
         return held, held.unpersist
@@ -81,9 +95,105 @@ def _materialise(df: DataFrame, how: str) -> tuple[DataFrame, callable]:
     raise ValueError(f"unknown materialisation {how!r}")
 
 
+class Moments(NamedTuple):
+    """Count, mean and sum of squared distances from the mean."""
+    n: int = 0
+    mean: float = 0.0
+    m2: float = 0.0
+
+    def __add__(self, other: Moments) -> Moments:
+        if not self.n or not other.n:
+            return other if other.n else self
+        n, apart = self.n + other.n, other.mean - self.mean
+        return Moments(n, self.mean + apart * other.n / n, self.m2 + other.m2 + apart * apart * self.n * other.n / n)
+
+    def sd(self) -> float | None:
+        """Sample standard deviation; what is below the resolution of the mean is 0."""
+        if self.n < 2:
+            return None
+        sd = math.sqrt(self.m2 / (self.n - 1))
+        return 0.0 if sd <= 1e-15 * abs(self.mean) else sd
+
+
+def moments(rows: DataFrame, width: int, upto: Column | None = None) -> list[Moments]:
+    """Moments of every column of the arrays ``x`` (of the first ``upto`` columns of each row): one scan, one group per
+    column, combined before the shuffle. The plan is the same small one for any width."""
+    x = F.col("x") if upto is None else F.slice("x", F.lit(1), upto)
+    got = {r.j: Moments(r.n, r.m, r.v * r.n) for r in rows.select(F.posexplode(x).alias("j", "v")).groupBy("j").agg(
+        F.count("v").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("v")).collect() if r.n}
+    return [got.get(j, Moments()) for j in range(width)]
+
+
+def first_failing(cols: Sequence[str], ranges: dict[str, tuple[float, float]]) -> Column:
+    """Number of the first column of ``x`` outside its range (missing values are), 0 if none. Ranges enter as
+    arrays, so every call runs the same compiled code."""
+    used = F.lit([c in ranges for c in cols])
+    lo, hi = (F.lit([float(ranges.get(c, (0.0, 0.0))[side]) for c in cols]) for side in (0, 1))
+    return F.array_position(F.transform("x", lambda v, i: F.get(used, i) & ~F.coalesce(
+        (v >= F.get(lo, i)) & (v <= F.get(hi, i)), F.lit(False))), True)
+
+
+def settle(suspects: DataFrame, base: list[Moments], cols: Sequence[str], k: float,
+           guess: dict[str, tuple[float, float]]) -> list[dict]:
+    """Bounds of the sequential filter if only ``suspects`` (arrays ``x`` of the columns) can be dropped; ``base`` has the
+    moments of all other rows."""
+    bounds = guess
+    while True:
+        place = first_failing(cols, bounds)
+        got = moments(suspects, len(cols), F.when(place == 0, len(cols)).otherwise(place).cast("int"))   # a row is seen up to there
+        steps, found = [], {}
+        for j, c in enumerate(cols):
+            m = base[j] + got[j]
+            mean, sd = (m.mean if m.n else None), m.sd()
+            applied = sd is not None and sd != 0
+            if applied:
+                found[c] = (mean - k * sd, mean + k * sd)
+            at, upto = found.get(c, (None, None))
+            steps.append({"column": c, "mean": mean, "sd": sd, "lo": at, "hi": upto, "applied": applied})
+        same = found.keys() == bounds.keys() and all(
+            abs(x - y) <= 1e-12 * (abs(x) + abs(y)) or x != x for c in found for x, y in zip(found[c], bounds[c]))
+        if same:
+            return steps
+        bounds = found
+
+
 def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                      materialise: str = "parquet", refresh_every: int = 8) -> list[dict]:
-    """Bounds of the sequential k-sigma filter, in column order.
+                      materialise: str = "parquet", narrow: float = 0.95) -> list[dict]:
+    """Bounds of the sequential k-sigma filter, in column order, from three scans of ``df``.
+
+    Returns one record per column: ``column, mean, sd, lo, hi, applied``.
+    Column j's statistics are taken over the rows kept by columns 1..j-1;
+    a column with NULL or zero sd is skipped (``applied`` False).
+    Rows outside ``narrow`` times the range of a column are suspects; where that proves too wide, two more scans take
+    a narrower one. ``materialise`` says how suspects are held: parquet, cache or none.
+    """
+    cols = list(cols)
+    if not cols:
+        return []
+    rows = df.select(F.array(*[as_missing(c) if nan_as_null else F.col(c).cast("double") for c in cols]).alias("x"))
+    whole = moments(rows, len(cols))
+    around = {c: (m.mean, m.sd()) for c, m in zip(cols, whole) if m.sd()}
+    guess = {c: (m - k * s, m + k * s) for c, (m, s) in around.items()}
+    while True:
+        inner = {c: (m - narrow * k * s, m + narrow * k * s) for c, (m, s) in around.items()}
+        plain = first_failing(cols, inner) == 0
+        base = moments(rows.where(plain), len(cols))
+        suspects, release = _materialise(rows.where(~plain), materialise)
+        try:
+            steps = settle(suspects, base, cols, k, guess)
+        finally:
+            release()
+        applied = [s for s in steps if s["applied"]]
+        if not any(m.n for m in base) or all(s["lo"] <= inner[s["column"]][0] and inner[s["column"]][1] <= s["hi"] for s in applied):
+            return steps
+        narrow *= 0.85
+        around |= {s["column"]: (s["mean"], s["sd"]) for s in applied}
+        guess = {s["column"]: (s["lo"], s["hi"]) for s in applied}
+
+
+def stepwise_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
+                    materialise: str = "parquet", refresh_every: int = 8) -> list[dict]:
+    """The same bounds, one job per column: the definition as it stands.
 
     Returns one record per column: ``column, mean, sd, lo, hi, applied``.
     Column j's statistics are taken over the rows kept by columns 1..j-1;
