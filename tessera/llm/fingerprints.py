@@ -9,7 +9,7 @@ A paragraph's vector has two parts:
 
 * ``EXACT`` lanes modulo 2**64, filled with the paragraph's BLAKE2b digest: equal sums mean
   equal multisets (256 bits);
-* ``WIDTH`` lanes modulo 2**16, in which every pair of neighbouring words of the paragraph adds
+* ``WIDTH`` lanes modulo 2**32, in which every pair of neighbouring words of the paragraph adds
   +1 or -1 to one lane (a count sketch). The sum over paragraphs is linear
   too, and the squared distance of two such sketches estimates how many word pairs
   differ, which gives the likeness (:func:`likeness`, 0 to 1).
@@ -21,8 +21,10 @@ word as its pair. The likeness of two empty documents is 1, of an empty and a no
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import itertools
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,7 +37,6 @@ from tessera.llm import textcols as tc
 
 EXACT = 4
 WIDTH = 256
-LANES_BYTES = EXACT * 8 + WIDTH * 2
 _NEWLINE = np.zeros(256, bool)
 _NEWLINE[0x0A] = True
 
@@ -75,14 +76,14 @@ def sketch_lanes(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def pack(exact: np.ndarray, sketch: np.ndarray) -> list[str]:
-    """Fingerprints as lowercase hex: the exact lanes, then the sketch lanes."""
-    low = sketch.astype(np.int16)
-    return [a.tobytes().hex() + b.tobytes().hex() for a, b in zip(exact, low)]
+    """Fingerprints in base 64: the exact lanes, then the sketch lanes."""
+    low = sketch.astype(np.int32)
+    return [base64.b64encode(a.tobytes() + b.tobytes()).decode() for a, b in zip(exact, low)]
 
 
 def unpack(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
-    raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw[:EXACT * 8], np.uint64), np.frombuffer(raw[EXACT * 8:], np.int16)
+    raw = base64.b64decode(fingerprint)
+    return np.frombuffer(raw[:EXACT * 8], np.uint64), np.frombuffer(raw[EXACT * 8:], np.int32)
 
 
 def fingerprint_text(text: str | None) -> str:
@@ -100,7 +101,7 @@ def combine(a: str, b: str, sign: int = 1) -> str:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """1 - |a-b|^2 / (|a|^2 + |b|^2) of sketch rows, cut to 0..1; 1 for two empty ones."""
-    a, b = a.astype(np.int16).astype(np.float64), b.astype(np.int16).astype(np.float64)
+    a, b = a.astype(np.int32).astype(np.float64), b.astype(np.int32).astype(np.float64)
     total = (a * a).sum(axis=1) + (b * b).sum(axis=1)
     apart = ((a - b) ** 2).sum(axis=1)
     return np.where(total > 0, np.clip(1.0 - apart / np.where(total > 0, total, 1.0), 0.0, 1.0), 1.0)
@@ -124,7 +125,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 # -- comparison with the neighbouring document -------------------------------
 
-ID_BUCKETS = 512
+RANGE_BYTES = 8 << 20
 
 
 def edited(text: str, following: str) -> str:
@@ -133,18 +134,30 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - cut] + following[:cut]
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def count_under(values: list[int], x: Column) -> Column:
+    """How many of the descending ``values`` are at least ``x``, looked up in two steps of about the square root of their number."""
+    wide = max(1, math.isqrt(len(values)))
+    groups = [values[i:i + wide] for i in range(0, len(values), wide)]
+    literal = F.lit([[int(v) for v in g] for g in groups])
+    heads = F.lit([int(g[-1]) for g in groups])
+    full = F.size(F.filter(heads, lambda c: c >= x))      # groups whose last value is not smaller
+    within = F.size(F.filter(F.coalesce(F.get(literal, full), F.array().cast("array<bigint>")), lambda c: c >= x))
+    return F.least(full * wide + within, F.lit(len(values)))   # the last group may be shorter
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, buckets: int | None = None) -> DataFrame:
     """(doc_id, text, bucket, edge): rows dealt to ranges of descending ids; each range
     also holds, as its last row (edge 1), the row that follows it. An id of many rows, and null, take
     several ranges, cut by the text's hash; only rows of one id and one text stay together.
 
     Only the ids (of ties, also the texts' hashes) are looked at to place the ranges, and the driver holds one
-    id per range. The texts are shuffled once.
+    id per range of ``RANGE_BYTES`` of text (or ``buckets`` ranges). The texts are shuffled once.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    without, rows, size = base.select(F.count_if(F.col("doc_id").isNull()), F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    buckets = buckets or max(1, -(-(size or 0) // RANGE_BYTES))
     points = [i / buckets for i in range(1, buckets)]
-    found, without, rows = base.select(F.percentile_approx("doc_id", points, 10_000), F.count_if(F.col("doc_id").isNull()),
-                                       F.count(F.lit(1))).first()
+    found = base.select(F.percentile_approx("doc_id", points, max(10_000, 20 * buckets))).first()[0] if points else []
     # an id that is met several times among the points has that many times the rows of a range: it is cut into as many
     # by the text's hash, in whose order its rows are, and the smaller ids of its range follow them
     many = Counter(found or [])
@@ -154,17 +167,17 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
     # null ids come last, in ranges of their own, below every id
     nulls = max(1, -(-without * buckets // max(rows, 1)))
 
-    def literal(values: list[int | None]) -> Column:
-        return F.array(*[F.lit(v).cast("long") for v in values])
+    def literal(values: list[int]) -> Column:
+        return F.lit([int(v) for v in values]) if values else F.array().cast("array<bigint>")
 
     def part(n: Column | int) -> Column:
         """Which of n equal parts of the hashes the text's is in."""
         share = F.xxhash64("text").cast("double") / 2.0**64 + 0.5
         return F.least(F.floor(share * n), F.lit(n) - 1)
 
-    nth = F.size(F.filter(literal(tops[1:]), lambda c: c >= F.col("doc_id"))) + 1 if many else F.lit(1)
+    nth = count_under(tops[1:], F.col("doc_id")) + 1 if many else F.lit(1)
     cut = F.element_at(literal(slices), nth)
-    tied = (cut > 0) & (F.col("doc_id") == F.element_at(literal(tops), nth))
+    tied = (cut > 0) & (F.col("doc_id") == F.get(literal(tops[1:]), nth - 2))
     within = F.when(tied, part(cut)).otherwise(cut) if any(slices) else F.lit(0)
     place = F.when(F.col("doc_id").isNull(), F.lit(starts[-1]) + (part(nulls) if nulls > 1 else F.lit(0))).otherwise(
         F.element_at(literal(starts), nth) + within)
@@ -178,19 +191,22 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
     firsts = firsts.withColumn("rk", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where("rk = 1")
     held = [h.bucket for h in heads]
     if not held:
-        return dealt.withColumn("edge", F.lit(0))
-    before = {b: held[i - 1] for i, b in enumerate(held)}  # the first range follows the last
-    to = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-    edges = firsts.select("doc_id", "text", to[F.col("bucket")].alias("bucket"), F.lit(1).alias("edge"))
-    return dealt.withColumn("edge", F.lit(0)).unionByName(edges)
+        out = dealt.withColumn("edge", F.lit(0))
+        out._ranges = 1
+        return out
+    # the first range follows the last
+    before = F.broadcast(docs.sparkSession.createDataFrame([(b, held[i - 1]) for i, b in enumerate(held)], "bucket int, before int"))
+    edges = firsts.join(before, "bucket").select("doc_id", "text", F.col("before").alias("bucket"), F.lit(1).alias("edge"))
+    out = dealt.withColumn("edge", F.lit(0)).unionByName(edges)
+    out._ranges = max(1, len(held))
+    return out
 
 
 def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 buckets: int = ID_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
     dealt = with_next(docs, id_col, text_col, buckets)
-    parts = max(1, min(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions(
+    dealt = dealt.repartition(dealt._ranges, "bucket").sortWithinPartitions(
         "bucket", "edge", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
     out = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
            "near_edited double, near_next double")

@@ -1,6 +1,12 @@
 import hashlib
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import fingerprints as fp
+from tessera.llm import textcols as tc
 from tessera.llm.registry import QUERIES
 
 from .conftest import SF, rows
@@ -70,3 +76,56 @@ def test_ties_and_nulls_are_split(spark):
     follows = [r.text for r in order[1:]] + [order[0].text]
     want = sorted(((r.doc_id, hashlib.sha256(fp.edited(r.text, f).encode()).hexdigest()) for r, f in zip(order, follows)), key=str)
     assert sorted(((r.doc_id, r.edited_sha256) for r in fp.compare_next(df, buckets=20).collect()), key=str) == want
+
+
+def sketch(text):
+    """Count sketch of the word pairs, one pair after the other."""
+    lanes = [0] * fp.WIDTH
+
+    def name(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return tc.span_hash(data, np.array([0]), np.array([len(data)]))
+
+    known = {}
+    for line in text.split("\n"):
+        words = [known.setdefault(w, name(w)) for w in re.findall("[^\x20\x09-\x0D]+", line)]
+        pairs = [tc.mix64(a * np.uint64(0x9E3779B97F4A7C15) ^ b) for a, b in zip(words, words[1:])] or [tc.mix64(w) for w in words]
+        for p in pairs:
+            lanes[int(p[0]) % fp.WIDTH] += -1 if int(p[0]) >> 40 & 1 else 1
+    return lanes
+
+
+def like(a, b):
+    total = sum(x * x for x in a) + sum(x * x for x in b)
+    return max(0.0, 1 - sum((x - y) ** 2 for x, y in zip(a, b)) / total) if total else 1.0
+
+
+def test_likeness_equals_brute_force(spark):
+    docs = sorted(((r["doc_id"], r["text"]) for r in rows("documents") if len(r["text"]) < 3000), reverse=True)[:300]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {r.doc_id: (r.near_edited, r.near_next) for r in fp.compare_next(df, buckets=7).collect()}
+    seen = [sketch(t) for _, t in docs]
+    for i, (d, text) in enumerate(docs):
+        j = (i + 1) % len(docs)
+        want = like(seen[i], sketch(fp.edited(text, docs[j][1]))), like(seen[i], seen[j])
+        assert all(abs(a - b) < 1e-9 for a, b in zip(out[d], want))
+
+
+def test_likeness_of_many_equal_lines():
+    line = "one two three four\n"
+    lanes = {n: fp.unpack(fp.fingerprint_text(line * n))[1][None] for n in (100_000, 50_000, 40_000)}
+    assert abs(fp.likeness(lanes[100_000], lanes[50_000])[0] - 0.8) < 1e-9
+    assert fp.likeness(lanes[40_000], lanes[40_000])[0] == 1.0
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(fp, "RANGE_BYTES", 1000)
+    docs = [(i, "word " * 20) for i in range(500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    dealt = fp.with_next(df, "doc_id", "text")
+    sizes = [r["count"] for r in dealt.where("edge = 0").groupBy("bucket").count().collect()]
+    assert 40 <= len(sizes) <= 51 and max(sizes) <= 25 and dealt._ranges == len(sizes)
+    assert got(fp.compare_next(df)) == brute(docs)
+    values = sorted(random.Random(1).sample(range(1000), 90), reverse=True)
+    xs = spark.range(-1, 1001).select("id", fp.count_under(values, F.col("id")).alias("n"))
+    assert all(r.n == sum(v >= r.id for v in values) for r in xs.collect())
