@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tessera.functions.vectors import explode_vector, vector_sum
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split, tune
 from tessera.operators.layout import cache_counted, cache_sized, fit_concurrency
-from tessera.plans import programs
+from tessera.plans import mechanisms, programs
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
 from tessera.sources.csv import labelled_schema, land_as_parquet, numbered, read_typed_csv, write_csv
@@ -566,4 +566,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tuned_logistic_experiment": tuned_logistic_experiment,
     "selected_logistic_experiment": selected_logistic_experiment,
     "baseline_comparison": baseline_comparison,
+    **mechanisms.QUERIES,
 }

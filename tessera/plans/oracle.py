@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from tessera.operators.experiment import SEEDS_A, SEEDS_B
+from tessera.plans import mechanisms
 
 # ---------------------------------------------------------------- fixtures
 
@@ -474,4 +475,5 @@ def oracle_sql() -> dict[str, str]:
         "results_table": _results_table(),
         "run_summary": _run_summary(),
         "results_csv_sink": _results_table(),
+        **mechanisms.SQL,
     }
