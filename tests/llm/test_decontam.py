@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -70,3 +71,51 @@ def test_proximity(spark):
     b = spark.createDataFrame([(1, "rare1 rare2 rare3")], "item_id long, text string")
     near = {r.doc_id for r in decontam.BenchmarkIndex(d, b).proximity(10).collect()}
     assert near == {1}
+
+
+def test_rows_without_an_id(spark):
+    """Rows of no id, and of one id, are judged each by its own text."""
+    phrase = " ".join(f"w{i}" for i in range(13))
+    docs = [(None, f"own{i} " * (i % 5) + (phrase if i % 3 == 0 else "") + f" end{i}") for i in range(300)]
+    docs += [(7, f"{phrase} {i}" if i % 2 else f"clean {i}") for i in range(40)] + [(8, phrase)] * 20 + [(None, None)] * 3
+    items = [(1, phrase), (1, phrase), (None, "clean 4")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    index = decontam.BenchmarkIndex(d, b)
+    # an alignment belongs to one text: at most one for each text and item
+    assert index.alignments().groupBy("doc_id", "tk", "i1", "i2").count().agg({"count": "max"}).first()[0] == 1
+    have = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in decontam.report(d, b).collect()), key=str)
+    want = []
+    for doc_id, text in docs:
+        n_words, n_hit, n_items, _, _ = brute([(0, text)], [(1, phrase), ("", "clean 4")])[0]
+        want.append((doc_id, n_words, n_hit, n_items))
+    assert have == sorted(want, key=str)
+
+
+def rare(docs, items, k=3):
+    """Offsets of the k rarest words of every phrase of an item."""
+    held = [set(decontam.hash_text(t).tolist()) for _, t in docs]
+    out = {}
+    for item_id, text in items:
+        w = decontam.hash_text(text).tolist()
+        n = min(13, len(w))
+        at = set()
+        for s in range(len(w) - n + 1 if n else 0):
+            at |= set(sorted(range(s, s + n), key=lambda i: (sum(w[i] in h for h in held), w[i], i))[:k])
+        out[str(item_id)] = {w[i] for i in at}
+    return out
+
+
+def test_proximity_equals_brute_force(spark):
+    rnd = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(rnd.choice((4, 13, 30))))) for i in range(4)]
+    docs = [(i, " ".join(rnd.choice(vocabulary + ["x"] * 200) for _ in range(rnd.randint(0, 120)))) for i in range(60)]
+    index = decontam.BenchmarkIndex(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    terms = rare(docs, items)
+    want = set()
+    for d, text in docs:
+        w = decontam.hash_text(text).tolist()
+        for item, words_ in terms.items():
+            at = [p for p, x in enumerate(w) if x in words_]
+            want |= {(d, item, p) for p in at if len({w[q] for q in at if p - 9 <= q <= p}) >= 2}
+    assert {(r.doc_id, r.item, r.p) for r in index.proximity(9).collect()} == want and len(want) > 20
