@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import gc
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,25 +20,41 @@ from pyspark.sql import functions as F
 from tessera.session import shared_dir
 
 
+_collected: ContextVar[list[DataFrame] | None] = ContextVar("collected", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back."""
+    """``df`` written as Parquet to the shared folder and read back. The table stays until it is discarded: an operator's result
+    may still read it. Within :func:`collecting` it is listed for that."""
     spark: SparkSession = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._written_path = path
+    if (into := _collected.get()) is not None:
+        into.append(back)
     return back
 
 
+@contextmanager
+def collecting(into: list[DataFrame]) -> Iterator[list[DataFrame]]:
+    """Every table written inside is added to ``into``, for :func:`discard` once the result has been used."""
+    token = _collected.set(into)
+    try:
+        yield into
+    finally:
+        _collected.reset(token)
+
+
 def discard(df: DataFrame) -> None:
-    """Remove a written table that no later step reads."""
+    """Remove a written table that no later step reads (one that is gone already is no error)."""
     jvm = df.sparkSession.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(df._written_path)
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label) with the smallest node of its component as the label.
+    """(node, label), a written table, with the smallest node of its component as the label.
 
     Nodes are longs; self loops and repeated edges are allowed. Nodes without
     an edge are not in the result.
@@ -43,7 +62,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = written(
         edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
              .unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "edges")
-    labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label"))
+    labels = labels_table = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label"))
                          .withColumnRenamed("u", "node"), "labels")
     while True:
         # the smallest label among a node's neighbours, then the label of that label
@@ -58,8 +77,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = written(step.join(jump, "next", "left").select(
             "node", F.col("label").alias("old"),
             F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
+        discard(labels_table)
+        labels_table = step
         labels = step.select("node", "label")
         if step.where("old <> label").isEmpty():
+            discard(both)
+            labels._written_path = step._written_path
             return labels
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import written
+from tessera.llm.components import collecting, discard, written
 from tessera.llm.textcols import LOWER, NON_WORD, as_signed, mix64, pieces, row_of, span_hash, word_spans
 
 BASE = ("email", "ip", "card", "phone")
@@ -274,7 +274,12 @@ def rank_of(kind: Column) -> Column:
 def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, k1, k2, base, spans) of every document; ``spans`` are base spans and disclosing terms by start, then kind."""
     found = written(scan(docs, id_col, text_col), "found")
-    hits = written(disclosing(found, term_documents(docs, text_col), found.count()), "disclosing")
+    frequency = written(term_documents(docs, text_col), "frequency")
+    with collecting([frequency]) as steps:
+        terms = disclosing(found, frequency, found.count())
+    hits = written(terms, "disclosing")
+    for step in steps:
+        discard(step)
     some = found.where(F.size("base") > 0).groupBy("k1", "k2").agg(F.first("terms").alias("terms"), F.first("near").alias("near"))
     names = some.select("k1", "k2", F.explode("near").alias("x")).where("x.t IS NULL").select("k1", "k2", "x.e")
     held = some.select("k1", "k2", F.explode("terms").alias("x")).select("k1", "k2", "x.*")

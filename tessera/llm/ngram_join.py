@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import textcols as tc
-from tessera.llm.components import components, release, written
+from tessera.llm.components import collecting, components, discard, release, written
 
 NGRAM = 5
 RECALL = 0.999
@@ -310,14 +310,21 @@ def classify(docs: DataFrame, id_col: str, text_col: str, ngram: int, recall: fl
     # sampled tokens agree in a share J on average; the cut is 4.5 deviations below the threshold
     t, n = P / Q, runs * depth
     agree = max(1, math.floor(n * t - 4.5 * math.sqrt(n * t * (1 - t))))
-    edges = written(candidate_edges(classes, runs, depth, leaf, agree), "likely")
+    with collecting([]) as steps:
+        candidates = candidate_edges(classes, runs, depth, leaf, agree)
+    edges = written(candidates, "likely")
+    for step in steps:
+        discard(step)
     release(spark)
-    groups = components(edges).select(F.col("node").alias("s1"), F.col("label").alias("grp"))
+    joined = components(edges)
+    discard(edges)
+    groups = joined.select(F.col("node").alias("s1"), F.col("label").alias("grp"))
 
     members = classes.select("s1", "d", "key", "size", "n").join(groups, "s1")
     extent = members.groupBy("grp").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long").alias("blocks"))
     members = written(members.join(extent, "grp").select("grp", "s1", "d", "key", "size", "blocks"), "members")
+    discard(joined)
     release(spark)
     # always a merge join: the same plan, and the same growth, at every size; with the text's hash, because
     # rows without an id, or of one id, would all meet each other
@@ -325,6 +332,7 @@ def classify(docs: DataFrame, id_col: str, text_col: str, ngram: int, recall: fl
     sets = set_rows(texts.select("grp", "own", "d", "size", "blocks", "text"), ngram)
     blocks = split_tasks(sets.withColumnRenamed("own", "s1")).select("task", "side", "s1", "size", "tokens")
     found = written(exact_links(blocks), "links")
+    discard(members)
     release(spark)
 
     links = found.groupBy("s1").agg(F.sum("links").alias("links"))

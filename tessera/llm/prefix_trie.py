@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.components import discard, written
+from tessera.llm.components import collecting, discard, written
 
 BLOCK = 1024
 PIECE_IDS = 128
@@ -477,6 +477,23 @@ def prefix_trie(sequences: DataFrame, block: int | None = None) -> DataFrame:
     n_leaves, saved_tokens, ends_sha256."""
     block = block or BLOCK
     bottom, count = blocks(sequences, block)
+    with collecting([bottom]) as steps:
+        answers = searched(bottom, count, block)
+    ready = written(with_answers(bottom, answers), "ready")
+    for step in steps:
+        discard(step)
+    nodes = written(assemble(ready, block), "nodes")
+    kids = nodes.where("pg IS NOT NULL").groupBy(F.col("pg").alias("g"), F.col("pi").alias("i"), (F.col("d") - 1).alias("d")).agg(
+        F.count("*").alias("kids"))
+    late = (nodes.where("open").join(kids, ["g", "i", "d"], "left").join(long_runs(ready, block), ["g", "i", "d"], "left")
+                 .withColumns({"n_children": F.col("n_children") + F.coalesce("kids", F.lit(0)), "ends_sha256": F.coalesce("ends_sha256", "sha")})
+                 .drop("kids", "sha"))
+    return nodes.where("NOT open").unionByName(late).select(
+        "conv_id", F.col("d").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def searched(bottom: DataFrame, count: int, block: int) -> DataFrame:
+    """The answers to all searches that leave their block."""
     tree = levels(bottom, count, block)
     asked = written(queries(bottom), "queries")
     none = F.lit(None).cast("long").alias("parent")
@@ -487,25 +504,19 @@ def prefix_trie(sequences: DataFrame, block: int | None = None) -> DataFrame:
         heads = open_nodes(with_answers(bottom, right))
         left = (left.withColumns({"pg": F.floor(F.col("at") / block), "pi": (F.col("at") % block).cast("int")})
                     .join(heads, ["pg", "pi", "d"], "left").withColumn("rightward", F.lit(False)).select(columns))
-        answers = right.unionByName(left)
-    else:
-        answers = bottom.sparkSession.createDataFrame(
-            [], "g long, rightward boolean, d int, at long, parent long, conv long, n long, total long, fresh long, drop long")
-    ready = written(with_answers(bottom, answers), "ready")
-    discard(bottom)
-    nodes = written(assemble(ready, block), "nodes")
-    kids = nodes.where("pg IS NOT NULL").groupBy(F.col("pg").alias("g"), F.col("pi").alias("i"), (F.col("d") - 1).alias("d")).agg(
-        F.count("*").alias("kids"))
-    late = (nodes.where("open").join(kids, ["g", "i", "d"], "left").join(long_runs(ready, block), ["g", "i", "d"], "left")
-                 .withColumns({"n_children": F.col("n_children") + F.coalesce("kids", F.lit(0)), "ends_sha256": F.coalesce("ends_sha256", "sha")})
-                 .drop("kids", "sha"))
-    return nodes.where("NOT open").unionByName(late).select(
-        "conv_id", F.col("d").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+        return right.unionByName(left)
+    return bottom.sparkSession.createDataFrame(
+        [], "g long, rightward boolean, d int, at long, parent long, conv long, n long, total long, fresh long, drop long")
 
 
 def conversation_trie(conversations: DataFrame, block: int | None = None) -> DataFrame:
     """The trie of the rebuilt conversations."""
-    return prefix_trie(written(rebuilt(conversations), "sequences"), block)
+    with collecting([]) as steps:
+        sequences = written(rebuilt(conversations), "sequences")
+    out = prefix_trie(sequences, block)
+    for step in steps:
+        discard(step)
+    return out
 
 
 def trie_sql() -> str:
