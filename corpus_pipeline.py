@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, mixing, ngram_join, secrets, toxicity
-from tessera.llm.components import release, written
+from tessera.llm.components import collecting, discard, release, written
 from tessera.llm.registry import find_package, read
 
 ORACLE_SQL = None
@@ -68,8 +68,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each result is written to the shared folder and reread."""
-    docs = read(spark, sf_dir, "documents")
+    """The stages over ``documents``; each result is written to the shared folder and reread. What a stage wrote for itself, and the
+    result of the stage before, are removed as soon as its own result is written."""
+    docs, before = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with collecting(before):
+            out = stage(spark, docs, sf_dir)
+        docs = written(out, f"stage-{name}")
+        for table in before:
+            discard(table)
+        before = [docs]
     return docs
