@@ -1,9 +1,12 @@
 
+import os
+
 import pyarrow as pa
 
 import corpus_pipeline as cp
 from tessera.llm import secrets, toxicity
 from tessera.llm.registry import read
+from tessera.session import shared_dir
 
 from .conftest import SF, rows
 from .test_decontam import brute as contaminated
@@ -39,6 +42,17 @@ def test_run_equals_brute_force(spark):
     assert got == want and 100 < len(want) < len(rows("documents"))
 
 
+def test_nothing_but_the_result_is_left(spark):
+    """The shared folder holds one more table after a run: the last stage's."""
+    def held():
+        path = shared_dir(spark).removeprefix("file://")
+        return set(os.listdir(path))
+
+    before = held()
+    out = cp.run(spark, SF.replace("sf0.01", "sf0.001"))
+    assert [n.rsplit("-", 1)[0] for n in held() - before] == ["stage-mix"] and out.count() > 0
+
+
 def test_stage_order_and_columns(spark):
     assert [n for n, _ in cp.STAGES] == ["toxicity", "ngram_join", "decontaminate", "secrets", "mix"]
     docs = read(spark, SF, "documents")
