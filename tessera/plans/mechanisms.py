@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import selection, sketches, timeline
+from tessera.operators import difference, levels, selection, sketches, timeline
 from tessera.session import shared_dir
+from tessera.sources import variants
 from tessera.sources.tables import table
 from tessera.streaming import event_time
 
@@ -140,3 +141,79 @@ SQL: dict[str, str] = {
     "asof_orders": ASOF_SQL, "event_sessions": SESSIONS_SQL, "streaming_windows": WINDOWS_SQL,
     "exact_quantiles": QUANTILES_SQL, "largest_orders": LARGEST_SQL, "sketch_levels": SKETCH_SQL,
 }
+
+
+# ---------------------------------------------------------------- levels, differences, variants
+
+def lineitem_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of lineitem over all subsets of three columns, with a NULL of its own in one of them."""
+    items = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", F.when(F.col("l_linenumber") < 6, F.col("l_linenumber")).cast("long").alias("line"),
+        F.col("l_quantity").cast("double").alias("qty"))
+    cols = ["l_returnflag", "l_linestatus", "line"]
+    out = levels.aggregate_levels(items, cols, levels.cube_sets(cols), [F.count("*").alias("n"), F.sum("qty").alias("qty")])
+    return out.withColumns({"l_returnflag": F.coalesce("l_returnflag", F.lit("-")), "l_linestatus": F.coalesce("l_linestatus", F.lit("-")),
+                            "line": F.coalesce("line", F.lit(-1))})
+
+
+CUBE_SQL = """
+WITH i AS (SELECT l_returnflag, l_linestatus, CASE WHEN l_linenumber < 6 THEN l_linenumber END AS line, CAST(l_quantity AS DOUBLE) AS qty FROM lineitem)
+SELECT coalesce(l_returnflag, '-') AS l_returnflag, coalesce(l_linestatus, '-') AS l_linestatus, CAST(coalesce(line, -1) AS BIGINT) AS line,
+       CAST(GROUPING_ID(l_returnflag, l_linestatus, line) AS BIGINT) AS level, count(*) AS n, sum(qty) AS qty
+FROM i GROUP BY CUBE (l_returnflag, l_linestatus, line)"""
+
+
+def _edited_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, and a later state of them: lost, repeated, changed and emptied rows (stand-in for a second delivery)."""
+    old = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("price"))
+    k = F.col("o_orderkey")
+    new = old.where(k % 97 != 0).withColumn("price", F.when(k % 101 == 0, F.col("price") + 1).otherwise(F.col("price")))
+    new = new.withColumn("o_orderstatus", F.when(k % 107 != 0, F.col("o_orderstatus")))
+    twice = new.where(k % 103 == 0)
+    return old, new.unionByName(twice).unionByName(twice.withColumn("o_orderkey", -k))
+
+
+def orders_difference(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = _edited_orders(spark, sf)
+    return difference.difference(old, new, ["o_orderkey"]).withColumn("o_orderstatus", F.coalesce("o_orderstatus", F.lit("none")))
+
+
+DIFFERENCE_SQL = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS price FROM orders),
+e AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 107 <> 0 THEN o_orderstatus END AS o_orderstatus,
+             CASE WHEN o_orderkey % 101 = 0 THEN price + 1 ELSE price END AS price FROM o WHERE o_orderkey % 97 <> 0),
+w AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE o_orderkey % 103 = 0
+      UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, price FROM e WHERE o_orderkey % 103 = 0),
+d AS (SELECT 'removed' AS change, * FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM w)
+      UNION ALL SELECT 'added', * FROM (SELECT * FROM w EXCEPT ALL SELECT * FROM o)),
+c AS (SELECT o_orderkey FROM d GROUP BY 1 HAVING count(DISTINCT change) = 2)
+SELECT CASE WHEN o_orderkey NOT IN (FROM c) THEN change WHEN change = 'removed' THEN 'changed_from' ELSE 'changed_to' END AS change,
+       count(*) AS n, o_orderkey, o_custkey, coalesce(o_orderstatus, 'none') AS o_orderstatus, price FROM d GROUP BY ALL"""
+
+
+def variant_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON text with broken rows and fields of varying type, read back by path."""
+    events = table(spark, sf, "events")
+    e = F.col("event_id")
+    body = F.to_json(F.struct("event_type", "value", F.from_json("props", "k long").alias("props"),
+                              F.transform(F.sequence(F.lit(0), F.pmod(e, F.lit(3)).cast("int")), lambda i: e + i).alias("tags")))
+    body = F.when(e % 17 == 0, F.substring(body, 1, 20)).when(e % 19 == 0, F.lit('{"event_type": 5, "value": "none"}')).otherwise(body)
+    rows = variants.parse(events.select("event_id", body.alias("body")), "body")
+    rows = variants.fields(rows, {"kind": ("$.event_type", "string"), "value": ("$.value", "double"), "k": ("$.props.k", "long")})
+    tags = variants.explode_list(rows, ["event_id"], "$.tags", "long").groupBy("event_id").agg(
+        F.count("*").alias("n_tags"), F.sum("item").alias("tag_sum"))
+    out = rows.join(tags, "event_id", "left")
+    return out.select("event_id", F.col("v_bad").alias("bad"), F.coalesce("kind", F.lit("none")).alias("kind"), F.coalesce("value", F.lit(-1.0)).alias("value"),
+                      *[F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("k", "n_tags", "tag_sum")])
+
+
+VARIANT_SQL = """
+WITH e AS (SELECT *, event_id % 17 = 0 AS bad, event_id % 17 <> 0 AND event_id % 19 = 0 AS odd, event_id % 3 + 1 AS m FROM events)
+SELECT event_id, bad, CASE WHEN bad THEN 'none' WHEN odd THEN '5' ELSE event_type END AS kind,
+       CASE WHEN bad OR odd THEN -1.0 ELSE value END AS value,
+       CASE WHEN bad OR odd THEN -1 ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN bad OR odd THEN -1 ELSE CAST(m AS BIGINT) END AS n_tags,
+       CASE WHEN bad OR odd THEN -1 ELSE CAST(event_id * m + m * (m - 1) // 2 AS BIGINT) END AS tag_sum FROM e"""
+
+QUERIES |= {"lineitem_cube": lineitem_cube, "orders_difference": orders_difference, "variant_events": variant_events}
+SQL |= {"lineitem_cube": CUBE_SQL, "orders_difference": DIFFERENCE_SQL, "variant_events": VARIANT_SQL}
