@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import difference, levels, selection, sketches, timeline
 from tessera.session import shared_dir
-from tessera.sources import variants
+from tessera.sources import ledger, variants
 from tessera.sources.tables import table
 from tessera.streaming import event_time
 
@@ -215,5 +215,22 @@ SELECT event_id, bad, CASE WHEN bad THEN 'none' WHEN odd THEN '5' ELSE event_typ
        CASE WHEN bad OR odd THEN -1 ELSE CAST(m AS BIGINT) END AS n_tags,
        CASE WHEN bad OR odd THEN -1 ELSE CAST(event_id * m + m * (m - 1) // 2 AS BIGINT) END AS tag_sum FROM e"""
 
-QUERIES |= {"lineitem_cube": lineitem_cube, "orders_difference": orders_difference, "variant_events": variant_events}
-SQL |= {"lineitem_cube": CUBE_SQL, "orders_difference": DIFFERENCE_SQL, "variant_events": VARIANT_SQL}
+def ledger_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written to a ledger in two commits, sorted into parts by key, and read back for a range of keys."""
+    ledger.register(spark)
+    path = shared_dir(spark, "ledger")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("price"))
+    for even in (0, 1):
+        part = orders.where(F.col("o_orderkey") % 2 == even).repartitionByRange("o_orderkey")
+        part.write.format("ledger").option("path", path).mode("append").save()
+    back = spark.read.format("ledger").option("path", path).load()
+    return back.where("o_orderkey > 1000 AND o_orderkey <= 9000").groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("price"), 2).alias("price"))
+
+
+LEDGER_SQL = """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, round(sum(CAST(o_totalprice AS DOUBLE)), 2) AS price
+FROM orders WHERE o_orderkey > 1000 AND o_orderkey <= 9000 GROUP BY 1"""
+
+QUERIES |= {"ledger_orders": ledger_orders, "lineitem_cube": lineitem_cube, "orders_difference": orders_difference, "variant_events": variant_events}
+SQL |= {"ledger_orders": LEDGER_SQL, "lineitem_cube": CUBE_SQL, "orders_difference": DIFFERENCE_SQL, "variant_events": VARIANT_SQL}
