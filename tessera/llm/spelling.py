@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import discard, written
-from tessera.llm.textcols import mix64, pieces
+from tessera.llm.textcols import column_bytes, mix64, pieces, span_hash
 
 LEAST_LENGTH, LEAST_COUNT, TIMES, DELETE_MOD = 7, 2, 10, 31
 SAMPLE_WORDS = 20_000
@@ -379,8 +379,8 @@ def near_words(words: DataFrame) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each word to its cell, and to the cells it asks; parts of points meet all parts of asks."""
         for batch in batches:
-            dealt = mix64(np.frombuffer(pc.binary_length(batch.column("word")).cast(pa.int64()).buffers()[1], np.int64,
-                                        batch.num_rows).view(_U) + np.arange(batch.num_rows, dtype=_U))
+            data, offs = column_bytes(batch.column("word"))
+            dealt = span_hash(data, offs[:-1], offs[1:])
             for cell, rows, asking in routes(batch.column("word"), forest):
                 mine, others = parts[cell, asking], parts.get((cell, not asking), 0)
                 if not others:
