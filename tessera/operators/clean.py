@@ -158,15 +158,18 @@ def settle(suspects: DataFrame, base: list[Moments], cols: Sequence[str], k: flo
 
 
 def sequential_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0, nan_as_null: bool = True,
-                      materialise: str = "parquet", narrow: float = 0.95) -> list[dict]:
+                      materialise: str = "parquet", narrow: float = 0.95, refresh_every: int | None = None) -> list[dict]:
     """Bounds of the sequential k-sigma filter, in column order, from three scans of ``df``.
 
     Returns one record per column: ``column, mean, sd, lo, hi, applied``.
     Column j's statistics are taken over the rows kept by columns 1..j-1;
     a column with NULL or zero sd is skipped (``applied`` False).
     Rows outside ``narrow`` times the range of a column are suspects; where that proves too wide, two more scans take
-    a narrower one. ``materialise`` says how suspects are held: parquet, cache or none.
+    a narrower one. ``materialise`` says how suspects are held: parquet, cache or none. With ``refresh_every``
+    the columns are done one after the other, as in :func:`stepwise_bounds`.
     """
+    if refresh_every is not None:
+        return stepwise_bounds(df, cols, k, nan_as_null, materialise, refresh_every)
     cols = list(cols)
     if not cols:
         return []
