@@ -23,7 +23,10 @@ table and the min/max/mean/SD summary.
 from __future__ import annotations
 
 import functools
+from contextlib import contextmanager
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,17 @@ def _source(spark: SparkSession, sf_dir: str | None, fixture: str, source: fx.Fi
     return source if source is not None else fx.FIXTURES[fixture](spark, sf_dir)
 
 
+@contextmanager
+def _read_once(fix: fx.Fixture):
+    """The fixture over a cached copy of its key, features and label. Cleaning scans the rows many times, and a fixture may
+    be a join or measure whole texts, which is then done once."""
+    held = fix.df.select(*dict.fromkeys([*_keys(fix), *fix.features, fix.label])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield replace(fix, df=held)
+    finally:
+        held.unpersist()
+
+
 def _prepared(fix: fx.Fixture, cleaned: bool, fit_where=None) -> DataFrame:
     df = encode.index_label(fix.df)
     if cleaned:
@@ -73,16 +87,16 @@ def tree_experiment(spark: SparkSession, sf_dir: str | None, seeds=experiment.SE
                     fit_on: str = "all") -> DataFrame:
     """``fit_on='all'`` takes means and bounds from all rows, ``'train'`` per seed from its training rows
     only, so no test row informs them (the label index is a mere renaming and stays global)."""
-    fix = _source(spark, sf_dir, fixture, source)
-    if fit_on == "train":
-        runs = [experiment.repeated_holdout(
-            spark, _prepared(fix, True, _train_rows(fix, s)), _keys(fix), [s],
-            lambda s: models.tree_classifier(seed=s), model="decision_tree", parallelism=parallelism).withColumn(
-                "run", F.lit(i + 1).cast("long")) for i, s in enumerate(seeds)]
-        return functools.reduce(DataFrame.unionByName, runs)
-    ds = _prepared(fix, cleaned=True)
-    return experiment.repeated_holdout(spark, ds, _keys(fix), seeds, lambda s: models.tree_classifier(seed=s),
-                                       model="decision_tree", parallelism=parallelism)
+    with _read_once(_source(spark, sf_dir, fixture, source)) as fix:
+        if fit_on == "train":
+            runs = [experiment.repeated_holdout(
+                spark, _prepared(fix, True, _train_rows(fix, s)), _keys(fix), [s],
+                lambda s: models.tree_classifier(seed=s), model="decision_tree", parallelism=parallelism).withColumn(
+                    "run", F.lit(i + 1).cast("long")) for i, s in enumerate(seeds)]
+            return functools.reduce(DataFrame.unionByName, runs)
+        ds = _prepared(fix, cleaned=True)
+        return experiment.repeated_holdout(spark, ds, _keys(fix), seeds, lambda s: models.tree_classifier(seed=s),
+                                           model="decision_tree", parallelism=parallelism)
 
 
 def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment.SEEDS_B,
@@ -91,10 +105,10 @@ def tuned_logistic_experiment(spark: SparkSession, sf_dir: str, seeds=experiment
                               fixture: str = "document_quality", source: fx.Fixture | None = None,
                               select_bins: int | None = None, fit_on: str = "all") -> DataFrame:
     """With ``fit_on='train'`` means and bounds come from the training rows of the tuning split."""
-    fix = _source(spark, sf_dir, fixture, source)
-    keys = _keys(fix)
-    where = _train_rows(fix, TUNING_SEED) if fit_on == "train" else None
-    ds = cache_sized(_prepared(fix, True, where).select(*keys, "label_indexed", "features"))
+    with _read_once(_source(spark, sf_dir, fixture, source)) as fix:
+        keys = _keys(fix)
+        where = _train_rows(fix, TUNING_SEED) if fit_on == "train" else None
+        ds = cache_sized(_prepared(fix, True, where).select(*keys, "label_indexed", "features"))
     try:
         tuning = split.add_split(ds, keys, TUNING_SEED).where(F.col("split") == "train").drop("split")
         pipe = models.scaled_logistic(select_k=select_k, select_bins=select_bins)

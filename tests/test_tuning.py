@@ -104,3 +104,26 @@ def test_tree_experiment_fitted_on_train_rows(spark):
     train = programs.tree_experiment(spark, SF_SMALL, seeds=[42, 7], fit_on="train").collect()
     assert {(r["run"], r["seed"], r["split"]) for r in train} == {(r["run"], r["seed"], r["split"]) for r in all_rows}
     assert all(r["elapsed_s"] > 0 for r in train)
+
+
+def _counted_source(spark, n=400):
+    """A fixture whose feature x counts how often a row of it is computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def x(k):
+        seen.add(1)
+        return float(k % 7)
+
+    df = spark.range(n).select(F.col("id").alias("k"), F.udf(x, "double")("id").alias("x"),
+                               F.when(F.col("id") % 7 > 3, "a").otherwise("b").alias("label"))
+    return fx.Fixture(df, ["x"], key="k"), seen
+
+
+def test_programs_compute_their_source_once(spark):
+    fix, seen = _counted_source(spark)
+    programs.tuned_logistic_experiment(spark, None, seeds=[42], grid={"reg_param": [0.1], "elastic_net": [0.0]},
+                                       num_folds=2, source=fix)
+    assert seen.value == 400
+    fix, seen = _counted_source(spark)
+    programs.tree_experiment(spark, None, seeds=[42, 7], source=fix, fit_on="train")
+    assert seen.value == 400
