@@ -1,6 +1,6 @@
 """Repeated experiments and their result tables.
 
-A run = (model, seed): split the cached input by the seed's key hash, fit on
+A run = (model, seed): take the split of the seed, which was hashed from the key once when the input was cached, fit on
 the training rows, predict all rows once and reduce train and test metrics in
 one aggregate. Runs are independent Spark jobs, submitted from a small thread
 pool so several fits share the cluster. Every run yields a few metric rows
@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tessera.functions.hashing import key_text
+from tessera.functions.hashing import key_text, split_label
 from tessera.operators.evaluate import metrics
-from tessera.operators.layout import FIT_BYTES, cache_counted, fit_concurrency, vector_width
-from tessera.operators.split import add_split
+from tessera.operators.layout import cache_counted, fit_budget, fit_concurrency, vector_width
 from tessera.sources.csv import write_csv
 
 # The split seeds of the repeated runs in the tree program and
@@ -40,10 +39,9 @@ RESULT_SCHEMA = StructType([
 Factory = Callable[[int], object]  # seed -> pyspark.ml Estimator
 
 
-def _run_once(df: DataFrame, split_seed: int, model_seed: int, factory: Factory,
-              label_col: str, train_fraction: float) -> list[tuple]:
+def _run_once(df: DataFrame, split_seed: int, model_seed: int, factory: Factory, label_col: str) -> list[tuple]:
     began = time.perf_counter()
-    tagged = add_split(df, ["__key"], split_seed, train_fraction)
+    tagged = df.withColumn("split", F.when(F.col(f"__train_{split_seed}"), "train").otherwise("test"))
     model = factory(model_seed).fit(tagged.where(F.col("split") == "train"))
     rows = metrics(model.transform(tagged), label_col, "prediction", by=["split"]).collect()
     took = time.perf_counter() - began
@@ -51,17 +49,20 @@ def _run_once(df: DataFrame, split_seed: int, model_seed: int, factory: Factory,
 
 
 def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_col: str, train_fraction: float,
-                  parallelism: int, features_col: str, fit_bytes: int) -> list[tuple]:
-    # every run reads the key, the label and the vector; a lone key keeps its own value, several become one string
+                  parallelism: int, features_col: str, fit_bytes: int | None) -> list[tuple]:
+    # every run reads the label, the vector and the side of its split, one boolean per split seed: a fit scans its rows
+    # several times, and the hash of a key costs more than the rest of a scan.
+    # A lone key keeps its own value, several become one string
     key = F.col(keys[0]) if len(keys) == 1 else key_text(keys)
-    lean = df.select(key.alias("__key"), label_col, features_col)
-    held, n = cache_counted(lean)
-    parallelism = fit_concurrency(int(n * train_fraction), vector_width(df, features_col), parallelism, fit_bytes)
+    sides = [(split_label(s, [key], train_fraction) == "train").alias(f"__train_{s}") for s in dict.fromkeys(j[2] for j in jobs)]
+    held, n = cache_counted(df.select(label_col, features_col, *sides))
+    parallelism = fit_concurrency(int(n * train_fraction), vector_width(df, features_col), parallelism,
+                                  fit_budget(df.sparkSession, fit_bytes))
     try:
         def go(job):
             name, run, split_seed, model_seed, factory = job
             return [(name, run, model_seed, *m) for m in
-                    _run_once(held, split_seed, model_seed, factory, label_col, train_fraction)]
+                    _run_once(held, split_seed, model_seed, factory, label_col)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             results = list(pool.map(inheritable_thread_target(df.sparkSession)(go), jobs))
     finally:
@@ -72,7 +73,7 @@ def _collect_runs(df: DataFrame, jobs: list[tuple], keys: Sequence[str], label_c
 def repeated_holdout(spark: SparkSession, df: DataFrame, keys: Sequence[str], seeds: Sequence[int],
                      factory: Factory, model: str = "model", label_col: str = "label_indexed",
                      train_fraction: float = 0.7, parallelism: int = 8, features_col: str = "features",
-                     fit_bytes: int = FIT_BYTES) -> DataFrame:
+                     fit_bytes: int | None = None) -> DataFrame:
     """One run per seed; the seed drives both the split and the model. ``elapsed_s`` is the
     run's wall time (runs share the cluster)."""
     jobs = [(model, i + 1, s, s, factory) for i, s in enumerate(seeds)]
@@ -84,7 +85,7 @@ def repeated_model_seed(spark: SparkSession, df: DataFrame, keys: Sequence[str],
                         seeds: Sequence[int], factories: dict[str, tuple[Factory, bool]],
                         label_col: str = "label_indexed", train_fraction: float = 0.7,
                         parallelism: int = 8, features_col: str = "features",
-                        fit_bytes: int = FIT_BYTES) -> DataFrame:
+                        fit_bytes: int | None = None) -> DataFrame:
     """Fixed split, one run per (model, seed). A model flagged unseeded
     ignores the seed, so it is fitted once and that fit's metrics are
     reported for every seed."""

@@ -10,8 +10,9 @@ far fewer rows than the target.
 
 Each concurrent fit also keeps its own cached copy of its training rows
 (``pyspark.ml`` persists the instances it iterates over), so the number of fits in flight
-is bounded by a budget in bytes, an argument of everything that fits in parallel: the vector
-width times eight bytes times the training rows is what one fit holds.
+is bounded by a budget in bytes, an argument of everything that fits in parallel (half of the
+executors' storage memory if not given): what one fit holds is the training rows times the bytes of a row, in blocks of
+doubles (regression) or as one object per row (trees), whichever is more.
 """
 
 from __future__ import annotations
@@ -19,12 +20,31 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_PARTITION = 250_000
 FIT_BYTES = 64 << 30
 
 
+def executor_storage(spark: SparkSession) -> list[int]:
+    """Bytes of storage memory of every executor (of the driver in local mode). The driver is listed among
+    them; the largest is left out for it, so the sum is never too high."""
+    each = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    sizes = []
+    while each.hasNext():
+        sizes.append(int(each.next()._1()))
+    return sorted(sizes)[:-1] if len(sizes) > 1 else sizes
+
+
+def fit_budget(spark: SparkSession, fit_bytes: int | None = None) -> int:
+    """Bytes that all fits in flight may hold: as given, or half of the executors' storage memory."""
+    return fit_bytes if fit_bytes is not None else sum(executor_storage(spark)) // 2
+
+
+def partitions_for(n: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    return max(1, math.ceil(n / rows_per_partition))
+
+
 def cache_counted(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
                   level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> tuple[DataFrame, int]:
     """(persisted copy of ``df`` with about ``rows_per_partition`` rows per
@@ -33,7 +53,7 @@ def cache_counted(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
     held = df.persist(level)
     n = held.count()
     have = held.rdd.getNumPartitions()
-    want = max(1, math.ceil(n / rows_per_partition))
+    want = partitions_for(n, rows_per_partition)
     if want >= have:
         return held, n
     sized = held.coalesce(want).persist(level)
@@ -49,8 +69,10 @@ def cache_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION,
 
 def fit_concurrency(train_rows: int, width: int, requested: int, fit_bytes: int = FIT_BYTES) -> int:
     """Concurrent fits allowed for a training set of ``train_rows`` vectors of ``width``
-    doubles when all fits together may hold ``fit_bytes``."""
-    return max(1, min(requested, fit_bytes // max(1, train_rows * (width + 2) * 8)))
+    doubles when all fits together may hold ``fit_bytes``. A row takes 8 bytes per double in a block, or as the
+    object that trees keep of it 112 bytes and 4 per feature."""
+    row = max((width + 2) * 8, 112 + 4 * width)
+    return max(1, min(requested, fit_bytes // max(1, train_rows * row)))
 
 
 def vector_width(df: DataFrame, col: str) -> int:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import explode_vector, vector_sum
 from tessera.operators import clean, encode, evaluate, experiment, models, profile, split, tune
-from tessera.operators.layout import cache_counted, cache_sized, fit_concurrency
+from tessera.operators.layout import cache_counted, cache_sized, fit_budget, fit_concurrency
 from tessera.plans import mechanisms, programs
 from tessera.session import shared_dir
 from tessera.sources import fixtures as fx
@@ -247,7 +247,7 @@ def _coefficients_over(spark: SparkSession, f: fx.Fixture, grid: list[tuple[floa
         return [(p[0], p[1], *row) for row in models.logistic_coefficients(spark, m, f.features).collect()]
 
     try:
-        with ThreadPoolExecutor(max_workers=fit_concurrency(n, len(f.features), parallelism)) as pool:
+        with ThreadPoolExecutor(max_workers=fit_concurrency(n, len(f.features), parallelism, fit_budget(spark))) as pool:
             rows = [r for rs in pool.map(inheritable_thread_target(spark)(fit), grid) for r in rs]
     finally:
         held.unpersist()

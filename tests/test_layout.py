@@ -25,3 +25,10 @@ def test_vector_width(spark):
     from tessera.operators import encode
     df = encode.assemble(spark.range(3).selectExpr("id", "cast(id as double) x", "1.0D y"), ["x", "y"])
     assert layout.vector_width(df, "features") == 2
+
+
+def test_fit_budget_is_what_executors_store(spark):
+    assert layout.fit_budget(spark, 5) == 5
+    assert 0 < layout.fit_budget(spark) < layout.FIT_BYTES
+    # a narrow row is held as an object by a tree: two of these fits do not fit into 8 GB
+    assert layout.fit_concurrency(38_000_000, 1, 8, fit_bytes=8 << 30) == 1

@@ -319,3 +319,21 @@ def test_cleaning_fitted_on_train_rows_only(spark):
     kept = clean.outlier_filter_sequential(out, ["value"], fit_where=train)
     m, s = out.where(train).agg(F.avg("value"), F.stddev_samp("value")).first()
     assert kept.count() == out.where(F.col("value").between(m - 3 * s, m + 3 * s)).count()
+
+
+def test_runs_hash_their_key_once(spark, monkeypatch):
+    """The cached rows of repeated runs carry each seed's side, which equals the split's; the runs hash nothing."""
+    from tessera.operators import encode, experiment, models, split
+    df = encode.assemble(spark.range(300).selectExpr("id k", "cast(id % 5 AS double) x", "cast(id % 3 AS double) label_indexed"), ["x"])
+    once, given = experiment._run_once, []
+
+    def seen(rows, *rest):
+        given.append((rows.columns, rows._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]))
+        return once(rows, *rest)
+
+    monkeypatch.setattr(experiment, "_run_once", seen)
+    long = experiment.repeated_holdout(spark, df, ["k"], [42, 7], lambda s: models.tree_classifier(seed=s)).collect()
+    assert all("__key" not in columns and "md5" not in plan for columns, plan in given) and len(given) == 2
+    for s in (42, 7):
+        assert {r["split"]: r["n"] for r in long if r["seed"] == s} == {
+            r["split"]: r["count"] for r in split.add_split(df, ["k"], s).groupBy("split").count().collect()}
