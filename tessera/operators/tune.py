@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tessera.operators import evaluate
-from tessera.operators.layout import FIT_BYTES, cache_counted, fit_concurrency, vector_width
+from tessera.operators.layout import cache_counted, fit_budget, fit_concurrency, partitions_for, vector_width
 from tessera.operators.split import add_folds
+from tessera.session import remove_dir, shared_dir
+from tessera.sources.csv import land_as_parquet
 
 # The two regularisation grids of the tuned programs.
 GRID_SMALL = {"reg_param": [0.0001, 0.01, 0.2, 0.4], "elastic_net": [0.0, 0.2, 0.4, 0.6]}
@@ -99,11 +101,13 @@ def fold_scoring(models: list, valid: DataFrame, label_col: str) -> DataFrame:
 
 def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence[str], seed: int,
                    num_folds: int = 5, parallelism: int = 8, label_col: str = "label_indexed",
-                   metric: str = "f1", fit_bytes: int = FIT_BYTES) -> GridSearchModel:
+                   metric: str = "f1", fit_bytes: int | None = None) -> GridSearchModel:
     """k-fold grid search with the same metrics as ``CrossValidator``.
 
-    The folds keep only the label, the fold number and one vector: the input's vector once, and per fold the
-    vector that the last stage reads. The stages before the last one (scaler, selector -- their parameters
+    The folds keep only the label, the fold number and one vector: the input's vector cached once, and per fold the
+    vector that the last stage reads, as Parquet in the shared folder. From there any executor reads the rows of a fit,
+    so fits run wherever cores are free; a cached fold would draw all its fits to the executor that holds it. A fit caches the
+    blocks it iterates over. The stages before the last one (scaler, selector -- their parameters
     are not in the grid) are fitted once per fold instead of once per grid point. All fits
     share one pool, whose size is ``parallelism`` bounded by ``fit_bytes``
     (see :func:`~tessera.operators.layout.fit_concurrency`). The models of all grid points are chained over a
@@ -118,23 +122,22 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
     source = prefix[0].getOrDefault("inputCol") if prefix else last.getFeaturesCol()
     reads = last.getFeaturesCol()
     folded, n = cache_counted(add_folds(df, keys, seed, num_folds, "__fold").select("__fold", label_col, source))
-    held: list[DataFrame] = []
+    landed: list[str] = []
     try:
         sizes = {r["__fold"]: r["count"] for r in folded.groupBy("__fold").count().collect()}
         bare = [i for i in range(num_folds) if not sizes.get(i) or sizes[i] == n]
         if bare:
             raise ValueError(f"cross-validation needs rows in and outside every fold; of {n} rows, fold sizes are "
                              f"{[sizes.get(i, 0) for i in range(num_folds)]}")
-        workers = fit_concurrency(n, vector_width(folded, source), parallelism, fit_bytes)
+        workers = fit_concurrency(n, vector_width(folded, source), parallelism, fit_budget(df.sparkSession, fit_bytes))
 
         def prepare(i: int):
-            train, valid = folded.where(F.col("__fold") != i), folded.where(F.col("__fold") == i)
+            rows = folded
             if prefix:
-                pm = Pipeline(stages=prefix).fit(train)
-                train, valid = pm.transform(train), pm.transform(valid)
-            pair = [x.select(label_col, reads).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, valid)]
-            held.extend(pair)
-            return pair
+                rows = Pipeline(stages=prefix).fit(folded.where(F.col("__fold") != i)).transform(folded)
+            landed.append(path := shared_dir(df.sparkSession, "fold"))
+            rows = land_as_parquet(rows.select("__fold", label_col, reads), path).coalesce(partitions_for(n))
+            return [rows.where(c).select(label_col, reads) for c in (F.col("__fold") != i, F.col("__fold") == i)]
 
         with ThreadPoolExecutor(max_workers=workers) as pool:
             views = list(pool.map(inheritable_thread_target(df.sparkSession)(prepare), range(num_folds)))
@@ -150,8 +153,8 @@ def grid_search_cv(df: DataFrame, pipeline: Pipeline, grid: list, keys: Sequence
             fitted = dict(zip(tasks, pool.map(inheritable_thread_target(df.sparkSession)(fit), tasks)))
             per_fold = list(pool.map(inheritable_thread_target(df.sparkSession)(score), range(num_folds)))
     finally:
-        for h in held:
-            h.unpersist()
+        for path in landed:
+            remove_dir(df.sparkSession, path)
         folded.unpersist()
     per_point = [[per_fold[i][j] for i in range(num_folds)] for j in range(len(grid))]
     avg = [sum(v) / num_folds for v in per_point]

@@ -127,3 +127,23 @@ def test_programs_compute_their_source_once(spark):
     fix, seen = _counted_source(spark)
     programs.tree_experiment(spark, None, seeds=[42, 7], source=fix, fit_on="train")
     assert seen.value == 400
+
+
+def test_fits_of_a_fold_read_its_landed_rows(spark, monkeypatch):
+    """A cached fold would draw its fits to one executor; the landed rows are removed afterwards."""
+    import os
+    from pyspark.ml.classification import LogisticRegression
+    given = []
+    fit = LogisticRegression.fit
+
+    def seen(self, dataset, params=None):
+        given.append((dataset.storageLevel.useMemory, dataset.inputFiles(), dataset.rdd.getNumPartitions()))
+        return fit(self, dataset, params)
+
+    monkeypatch.setattr(LogisticRegression, "fit", seen)
+    df = encode.assemble(spark.range(200).selectExpr("id k", "cast(id % 5 AS double) x", "cast(id % 2 AS double) label_indexed"), ["x"])
+    pipe = models.scaled_logistic(maxIter=3)
+    tune.grid_search_cv(df, pipe, tune.logistic_grid(pipe.getStages()[-1], [0.1, 0.2], [0.0]), ["k"], seed=1, num_folds=2)
+    folds = given[:4]
+    assert all(not held and files and parts == 1 for held, files, parts in folds)
+    assert not any(os.path.exists(f.removeprefix("file://")) for _, files, _ in folds for f in files)
