@@ -141,7 +141,7 @@ def test_fits_of_a_fold_read_its_landed_rows(spark, monkeypatch):
         return fit(self, dataset, params)
 
     monkeypatch.setattr(LogisticRegression, "fit", seen)
-    df = encode.assemble(spark.range(200).selectExpr("id k", "cast(id % 5 AS double) x", "cast(id % 2 AS double) label_indexed"), ["x"])
+    df = encode.assemble(spark.range(0, 200, 1, 1).selectExpr("id k", "cast(id % 5 AS double) x", "cast(id % 2 AS double) label_indexed"), ["x"])
     pipe = models.scaled_logistic(maxIter=3)
     tune.grid_search_cv(df, pipe, tune.logistic_grid(pipe.getStages()[-1], [0.1, 0.2], [0.0]), ["k"], seed=1, num_folds=2)
     folds = given[:4]
